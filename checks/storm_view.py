@@ -103,7 +103,7 @@ harm_lines AS (
       AS DEATHS_INDIRECT
   FROM lineitem GROUP BY l_orderkey
 ),
-storm AS (
+storm AS MATERIALIZED (
   SELECT o_orderkey AS EVENT_ID,
     nullif(n_name, 'NATION_3') AS STATE,
     CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE c_mktsegment END AS CZ_NAME,
