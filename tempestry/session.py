@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 # Settings every run wants. Memory, cores and shuffle partitions belong to the
 # cluster and are left to spark-submit; adaptive execution coalesces the many
 # tiny shuffle partitions of the aggregates and splits skewed join partitions.
+# Recording the Python call site of every expression slows building plans.
 _SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -32,6 +32,9 @@ def parse_csv_lines(lines: DataFrame, columns, line="value", keep=()) -> DataFra
 
     Quoted commas are respected. ``keep`` names columns of ``lines`` to carry
     along; ``field_count`` tells short records, whose missing fields are NULL.
+
+    The record is unfolded by a generator, which later filters stay above: each
+    line is parsed once, however many fields they look at.
     """
     schema = StructType([StructField(c, StringType()) for c in columns])
     record = F.from_csv(
@@ -39,9 +42,9 @@ def parse_csv_lines(lines: DataFrame, columns, line="value", keep=()) -> DataFra
         schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "),
         {"mode": "PERMISSIVE", "quote": '"', "escape": '"'},
     )
-    return lines.select(
-        *keep, F.col(line), field_count(line).alias("field_count"), record.alias("record")
-    ).select(*keep, line, "field_count", "record.*")
+    counted = F.struct(field_count(line).alias("field_count"), record.alias("record"))
+    parsed = lines.select(*keep, line, F.inline(F.array(counted)))
+    return parsed.select(*keep, line, "field_count", "record.*")
 
 
 def split_valid_rejects(
