@@ -31,19 +31,26 @@ def train_harm_model(
     seed=42,
     partitions: int | None = None,
     interactions=False,
+    memory_mb=1024,
 ) -> PipelineModel:
     """Fit indexer, encoder, assembler and forest as one pipeline.
 
     The forest draws its samples per partition and in row order, so rows are
     placed by a hash of their id and sorted first: the same rows, seed and
-    ``partitions`` give the same forest.
+    ``partitions`` give the same forest. ``memory_mb`` bounds the statistics a task
+    gathers in one pass: the more nodes fit, the fewer passes over the rows.
     """
     spark = train.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = train.repartition(partitions, row_id).sortWithinPartitions(row_id)
     placed = placed.persist(StorageLevel.MEMORY_AND_DISK)
     forest = RandomForestClassifier(
-        labelCol=HAS_HARM, featuresCol="features", numTrees=trees, maxDepth=depth, seed=seed
+        labelCol=HAS_HARM,
+        featuresCol="features",
+        numTrees=trees,
+        maxDepth=depth,
+        seed=seed,
+        maxMemoryInMB=memory_mb,
     )
     try:
         return Pipeline(stages=[*feature_stages(interactions), forest]).fit(placed)

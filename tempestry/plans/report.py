@@ -1,6 +1,7 @@
 """The consolidated job: every report from one pass, then the harm model."""
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tempestry.operators.damage import relative_to_baseline
 from tempestry.operators.evaluation import (
@@ -9,7 +10,7 @@ from tempestry.operators.evaluation import (
     class_distribution,
     confusion_matrix,
 )
-from tempestry.operators.features import build_features, split3
+from tempestry.operators.features import SPLITS, build_features, split_name
 from tempestry.operators.forest import (
     feature_importance,
     group_importance,
@@ -93,13 +94,16 @@ def write_reports(events: DataFrame, out: str) -> None:
 def write_model_report(events: DataFrame, out: str, row_id=EVENT_ID, **training) -> None:
     """Train the harm model and write its quality and what it relies on.
 
-    The features are kept as a table: training and both evaluations read them
-    again, and a written table outlives lost executors.
+    The features are kept as a table, one partition per split: training and both
+    evaluations read only their own rows, and the table outlives lost executors.
     """
     spark = events.sparkSession
-    build_features(events, row_id).write.mode("overwrite").parquet(f"{out}/features")
+    marked = build_features(events, row_id).withColumn("split", split_name(row_id))
+    marked.write.mode("overwrite").partitionBy("split").parquet(f"{out}/features")
     features = spark.read.parquet(f"{out}/features")
-    train, validation, test = split3(features, row_id)
+    train, validation, test = (
+        features.where(F.col("split") == name).drop("split") for name, _ in SPLITS
+    )
     model = train_harm_model(train, row_id, **training)
     model.write().overwrite().save(f"{out}/model")
     quality = {}
