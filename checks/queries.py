@@ -36,7 +36,6 @@ from tempestry.sources import (
     cache_clean,
     dataset_overview,
     extract_links,
-    normalize_layout,
     null_profile,
     parse_csv_lines,
     read_events_csv,
@@ -452,7 +451,8 @@ _STRICT = r"CASE WHEN regexp_matches(RAW, '^\s*[+-]?\d+\s*$') THEN CAST(RAW AS I
     f"""{AWKWARD_SQL}
 SELECT EVENT_ID, RAW, {_STRICT} AS int_strict, coalesce({_STRICT}, 0) AS int_strict_0,
   coalesce({_VIA_FLOAT}, 0) AS int_via_float_0,
-  isnan({_DOUBLE}) AS float_is_nan, isinf({_DOUBLE}) AS float_is_inf,
+  coalesce(isnan({_DOUBLE}), false) AS float_is_nan,
+  coalesce(isinf({_DOUBLE}), false) AS float_is_inf,
   CASE WHEN isfinite({_DOUBLE}) THEN {_DOUBLE} END AS float_value,
   {_DOUBLE} IS NULL AS float_missing,
   RAW IS NULL OR trim(RAW) = '' OR ({_VIA_FLOAT}) IS NOT NULL AS readable
@@ -467,8 +467,8 @@ def safe_casts(spark, sf_dir):
         safe_int("RAW").alias("int_strict"),
         safe_int("RAW", 0).alias("int_strict_0"),
         safe_int("RAW", 0, via_float=True).alias("int_via_float_0"),
-        F.when(number.isNotNull(), F.isnan(number)).alias("float_is_nan"),
-        infinite.alias("float_is_inf"),
+        F.isnan(number).alias("float_is_nan"),
+        F.coalesce(infinite, F.lit(False)).alias("float_is_inf"),
         F.when(~F.isnan(number) & ~infinite, number).alias("float_value"),
         number.isNull().alias("float_missing"),
         measure_parses("RAW").alias("readable"),
@@ -597,7 +597,8 @@ def csv_roundtrip(spark, sf_dir):
 def csv_simple(spark, sf_dir):
     """One-line records without quotes, types guessed by the reader."""
     path = scratch_path(spark, "simple_csv")
-    write_csv(storm(spark, sf_dir).select("EVENT_ID", "STATE", "EVENT_TYPE", "YEAR", "MAGNITUDE"), path)
+    columns = ("EVENT_ID", "STATE", "EVENT_TYPE", "YEAR", "MAGNITUDE")
+    write_csv(storm(spark, sf_dir).select(*columns), path)
     return read_events_csv(spark, path, multi_line=False, infer_types=True)
 
 
@@ -750,13 +751,11 @@ def page_links(spark, sf_dir):
     return extract_links(pages, contains="th", base="https://example.org", keep=["page_id"])
 
 
-@check("SELECT count(*) AS row_count, 14 AS column_count FROM storm")
-def overview(spark, sf_dir):
-    return dataset_overview(storm(spark, sf_dir)).select("row_count", "column_count")
-
-
-QUERIES["dataset_overview"] = QUERIES.pop("overview")
-SQL["dataset_overview"] = SQL.pop("overview")
+on_storm(
+    "dataset_overview",
+    lambda df: dataset_overview(df).select("row_count", "column_count"),
+    "SELECT count(*) AS row_count, 14 AS column_count FROM storm",
+)
 on_storm(
     "null_profile",
     null_profile,

@@ -12,6 +12,7 @@ from tempestry.functions.coerce import (
     safe_int,
 )
 from tempestry.functions.rules import (
+    band_names,
     magnitude_band,
     severe_by_impact,
     severe_by_scale,
@@ -20,6 +21,7 @@ from tempestry.functions.rules import (
 
 __all__ = [
     "amount_measure",
+    "band_names",
     "bare_suffix",
     "blank_to_null",
     "int_measure",

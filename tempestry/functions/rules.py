@@ -79,10 +79,15 @@ def valid_magnitude(df: DataFrame, magnitude=MAGNITUDE) -> Column:
     return F.when(~F.isnan(number) & (number != 0), number)
 
 
+def band_names(edges=MAGNITUDE_EDGES) -> list[str]:
+    return [f"{a}\N{EN DASH}{b}" for a, b in zip((0, *edges), edges)] + [f">{edges[-1]}"]
+
+
 def magnitude_band(magnitude=MAGNITUDE, edges=MAGNITUDE_EDGES) -> Column:
     """Name of the half-open band the value falls in; the last band is open-ended."""
     value = F.col(magnitude) if isinstance(magnitude, str) else magnitude
     band = F.when(value.isNull(), F.lit(None).cast("string"))
-    for low, high in zip((0, *edges), edges):
-        band = band.when(value < high, F.lit(f"{low}\N{EN DASH}{high}"))
-    return band.otherwise(F.lit(f">{edges[-1]}"))
+    *bounded, last = band_names(edges)
+    for name, upper in zip(bounded, edges):
+        band = band.when(value < upper, F.lit(name))
+    return band.otherwise(F.lit(last))

@@ -8,6 +8,7 @@ give the same rows as the operators that read events directly.
 """
 
 from functools import reduce
+from itertools import pairwise
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from pyspark.sql.types import IntegralType
 
 from tempestry.functions.coerce import amount_measure, label_or, safe_int
 from tempestry.functions.rules import (
-    magnitude_band,
+    band_names,
     severe_by_impact,
     severe_by_scale,
     valid_magnitude,
@@ -28,7 +29,6 @@ from tempestry.schema import (
     FLASH_FLOOD,
     FLOOD,
     IMPACT_MEASURES,
-    MAGNITUDE,
     MAGNITUDE_EDGES,
     MAGNITUDE_TYPE,
     STATE,
@@ -65,7 +65,7 @@ def event_rollup(df: DataFrame, thresholds=(50, 20), edges=MAGNITUDE_EDGES) -> D
         return F.count_if(condition).alias(name)
 
     m, harm, readable = F.col("_m"), F.col(TOTAL_HARM), F.col("_readable")
-    bands = magnitude_band("_m", edges)
+    in_band = [m < edges[0], *[(m >= a) & (m < b) for a, b in pairwise(edges)], m >= edges[-1]]
     return rows.groupBy(*GRAIN).agg(
         F.count(F.lit(1)).alias("events"),
         count_if(harm > 0, "harmful_events"),
@@ -79,10 +79,7 @@ def event_rollup(df: DataFrame, thresholds=(50, 20), edges=MAGNITUDE_EDGES) -> D
         F.sum(m).alias("magnitude_sum"),
         F.max(m).alias("magnitude_max"),
         *[count_if(m > t, f"over_{t}") for t in thresholds],
-        *[
-            count_if(bands == name, _band_column(i))
-            for i, name in enumerate(band_names(edges))
-        ],
+        *[count_if(inside, _band_column(i)) for i, inside in enumerate(in_band)],
         *[
             aggregate
             for c in IMPACT_MEASURES
@@ -95,10 +92,6 @@ def event_rollup(df: DataFrame, thresholds=(50, 20), edges=MAGNITUDE_EDGES) -> D
     )
 
 
-def band_names(edges=MAGNITUDE_EDGES):
-    return [f"{a}\N{EN DASH}{b}" for a, b in zip((0, *edges), edges)] + [f">{edges[-1]}"]
-
-
 def _some(count):
     """Keep only groups that have rows of the kind the report is about."""
     return F.col(count) > 0

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType, NumericType, StructType
 
-from tempestry.functions.coerce import safe_float, safe_int
+from tempestry.functions.coerce import safe_float
 from tempestry.schema import EVENT_SCHEMA
 
 # Header of an index column that a writer left without a name.
@@ -79,8 +79,9 @@ def read_many(
 ) -> DataFrame:
     """Stack files (plain or gzip) whose headers may differ.
 
-    Paths with the same header share one scan, so the plan has one branch per
-    distinct header and not one per file. Absent columns are NULL.
+    Each path is a file, folder or glob whose files share one header; the header
+    of the first file is looked at. Paths with the same header share one scan, so
+    the plan has one branch per distinct header. Absent columns are NULL.
     """
     by_header = {}
     for path in paths:

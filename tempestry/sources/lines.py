@@ -11,13 +11,21 @@ from tempestry.schema import HARM_COLUMNS
 
 # A quoted run that starts a field, or follows such a run directly (a doubled
 # quote), up to its closing quote or the end of an unterminated field.
-_QUOTED_RUN = r'(?:(^|,)|\G(?!^))"[^"]*(?:"|$)'
+_QUOTED_RUN = r'(^|,|\G(?!^))"[^"]*+(?:"|$)'
 
 
 def field_count(line="value"):
     """Number of comma-separated fields, not counting commas inside quotes."""
-    bare = F.regexp_replace(F.col(line), _QUOTED_RUN, "$1")
-    return F.when(F.col(line) == "", F.lit(0)).otherwise(F.size(F.split(bare, ",")))
+
+    def commas(text):
+        return F.length(text) - F.length(F.replace(text, F.lit(","), F.lit("")))
+
+    text = F.col(line)
+    return (
+        F.when(text == "", F.lit(0))
+        .when(~F.contains(text, F.lit('"')), commas(text) + 1)
+        .otherwise(commas(F.regexp_replace(text, _QUOTED_RUN, "$1")) + 1)
+    )
 
 
 def strip_header(lines: DataFrame, header: str | None = None, line="value") -> DataFrame:

@@ -2,9 +2,20 @@ from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from checks.storm_view import storm
-from tempestry.operators import damage, features, frequency, harm, impact, location, rows, tornado, trend
+from tempestry.operators import (
+    damage,
+    features,
+    frequency,
+    harm,
+    impact,
+    location,
+    rows,
+    tornado,
+    trend,
+)
 from tempestry.operators.ranking import top_k
 from tempestry.schema import EVENT_SCHEMA, HARM_COLUMNS
 from tests.oracle import rows_of
@@ -102,7 +113,8 @@ def test_spearman_with_ties(spark):
 
 
 def test_text_years_that_do_not_parse_are_left_out(spark):
-    df = spark.createDataFrame([("2020", 5.0), ("x", 6.0), (None, 7.0)], "YEAR string, MAGNITUDE double")
+    data = [("2020", 5.0), ("x", 6.0), (None, 7.0)]
+    df = spark.createDataFrame(data, "YEAR string, MAGNITUDE double")
     assert [tuple(r) for r in trend.avg_magnitude_by_year(df).collect()] == [(2020, 5.0)]
 
 
@@ -119,13 +131,11 @@ def test_means_are_true_means(spark):
     values = [("Flood", 8), ("Flood", 0), ("Flood", 0), ("Flood", 0), ("Flash Flood", 4)]
     data = [
         tuple(
-            kind if f.name == "EVENT_TYPE" else (n if f.dataType.typeName() == "integer" else f"{n}.0K")
+            {"EVENT_TYPE": kind, "DAMAGE_PROPERTY": f"{n}.0K", "DAMAGE_CROPS": f"{n}.0K"}.get(f.name, n)
             for f in columns
         )
         for kind, n in values
     ]
-    from pyspark.sql.types import StructType
-
     df = spark.createDataFrame(data, StructType(columns))
     for order in (df, df.orderBy(F.desc("DAMAGE_PROPERTY")), df.repartition(3)):
         means = {r.EVENT_TYPE: r for r in damage.mean_by_type(order).collect()}
@@ -168,7 +178,10 @@ def count_places(local):
 def test_location_count_by_either_join(spark, events, local, threshold):
     """Broadcast and shuffled joins agree, and a NULL place counts 1."""
     expected = count_places(local)
-    settings = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    settings = (
+        "spark.sql.autoBroadcastJoinThreshold",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold",
+    )
     before = spark.conf.get(settings[0])
     for setting in settings:
         spark.conf.set(setting, threshold)
@@ -196,7 +209,9 @@ def test_one_place_with_most_rows(spark):
     """A place holding most events is spread over the tasks of a shuffled join."""
     events = spark.range(200_000).select(
         F.col("id").alias("EVENT_ID"),
-        F.when(F.col("id") % 3 < 2, "HOT").otherwise(F.concat(F.lit("S"), F.col("id") % 500)).alias("STATE"),
+        F.when(F.col("id") % 3 < 2, "HOT")
+        .otherwise(F.concat(F.lit("S"), F.col("id") % 500))
+        .alias("STATE"),
         F.lit("C").alias("CZ_NAME"),
         F.repeat(F.lit("x"), 50).alias("payload"),
     )
@@ -253,7 +268,8 @@ def test_filters(events, local):
 
 def test_frequency_of_complete_pairs(events, local):
     expected = Counter((r.STATE, r.EVENT_TYPE) for r in local if r.STATE and r.EVENT_TYPE)
-    got = {(r.STATE, r.EVENT_TYPE): r.event_count for r in frequency.state_event_frequency(events).collect()}
+    counted = frequency.state_event_frequency(events).collect()
+    got = {(r.STATE, r.EVENT_TYPE): r.event_count for r in counted}
     assert got == dict(expected)
 
 
