@@ -18,6 +18,10 @@ _SETTINGS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+# Remove the shuffle files of a query when it ends instead of at some later
+# garbage collection.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def build_session(app_name="tempestry", master=None, **extra):
     """Get or create the session; ``extra`` maps setting names to values."""
@@ -29,28 +33,79 @@ def build_session(app_name="tempestry", master=None, **extra):
     return builder.getOrCreate()
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder that ``spark.checkpoint.dir`` names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names, which all executors see.
 
-    All executors must see the folder, so a machine-local temporary folder is
-    used only where the setting is absent and the session itself is local.
+    A machine-local temporary folder is used only where the setting is absent and
+    the session itself runs in one process.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="tempestry-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/tempestry-{uuid.uuid4().hex}/{name}"
+    return base.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared scratch area and return the written table.
+class Scratch:
+    """Tables and files of one computation in a folder of its own in the shared folder.
 
-    Cuts lineage in a way that survives the loss of executors, and gives the
-    optimizer the table's real file size to base join decisions on.
+    ``save`` cuts lineage in a way that survives the loss of executors and gives the
+    optimizer the table's real file size to base join decisions on; the shuffle files
+    behind a saved table are removed with it. ``drop`` deletes a table that nothing
+    reads any more. As a context everything goes at its end; otherwise what a returned
+    result still reads goes when the session's JVM ends.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.root = f"{shared_folder(spark)}/tempestry-{uuid.uuid4().hex}"
+        self._files().deleteOnExit(self._path(self.root))
+
+    def _path(self, path):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _files(self):
+        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
+        return self._path(self.root).getFileSystem(conf)
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    def save(self, df: DataFrame, name: str, partition_by=()) -> DataFrame:
+        """Write ``df`` and return the written table."""
+        kept = self.spark.conf.get(_CLEANUP, None)
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.partitionBy(*partition_by).parquet(self.path(name))
+        finally:
+            if kept is None:
+                self.spark.conf.unset(_CLEANUP)
+            else:
+                self.spark.conf.set(_CLEANUP, kept)
+        return self.spark.read.schema(df.schema).parquet(self.path(name))
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            self._files().delete(self._path(self.path(name)), True)
+
+    def close(self) -> None:
+        self._files().delete(self._path(self.root), True)
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_):
+        self.close()
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder, deleted when the session's JVM ends."""
+    return Scratch(spark).path(name)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a written table of its own scratch folder."""
+    return Scratch(df.sparkSession).save(df, name)

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
+from checks.queries import QUERIES
 from checks.storm_view import storm
 from tempestry.operators import harm, location, trend
 from tempestry.operators.damage import mean_by_type
@@ -22,9 +22,9 @@ def physical(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - TRAINED))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - TRAINED))
 def test_no_python_rows_and_no_pairing_of_everything(spark, name):
-    plan = physical(queries()[name](spark, SF_DIR))
+    plan = physical(QUERIES[name](spark, SF_DIR))
     for node in ("PythonUDF", "ArrowEvalPython", "BatchEvalPython", "CartesianProduct",
                  "BroadcastNestedLoopJoin", "InPandas"):
         assert node not in plan
@@ -72,5 +72,5 @@ def test_small_lookup_leaves_the_events_unshuffled(parquet):
 
 
 def test_unused_harm_is_not_computed(spark):
-    plan = physical(queries()["state_event_frequency"](spark, SF_DIR))
+    plan = physical(QUERIES["state_event_frequency"](spark, SF_DIR))
     assert "lineitem" not in plan

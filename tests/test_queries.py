@@ -1,6 +1,7 @@
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from checks.queries import QUERIES, SQL
 from tests.oracle import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -11,14 +12,14 @@ def connection():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_sql(spark, connection, name):
-    assert compare(queries()[name](spark, SF_DIR), connection, oracle_sql()[name]) > 0
+    assert compare(QUERIES[name](spark, SF_DIR), connection, SQL[name]) > 0
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - set(oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_has_rows(spark, name):
-    assert queries()[name](spark, SF_DIR).count() > 0
+    assert QUERIES[name](spark, SF_DIR).count() > 0
 
 
 def test_entry(spark):
