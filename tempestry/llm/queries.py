@@ -1,6 +1,17 @@
 """Registered queries of the corpus operators, and the SQL of those that SQL can state."""
 
-from tempestry.llm import mixing, packing, quality, secret_scan, simhash, urls
+from tempestry.llm import (
+    language_model,
+    mixing,
+    neighbours,
+    packing,
+    quality,
+    secret_scan,
+    simhash,
+    suffix_dedup,
+    urls,
+    wrapper,
+)
 from tempestry.llm.common import read_table
 from tempestry.session import Scratch
 
@@ -118,3 +129,25 @@ def pipeline(spark, sf_dir):
 
 
 QUERIES["pipeline"] = pipeline
+
+
+def op2_suffix_repeats(spark, sf_dir):
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
+def op8_kneser_ney(spark, sf_dir):
+    return language_model.score_documents(read_table(spark, sf_dir, "documents"))
+
+
+def op9_wrapper_text(spark, sf_dir):
+    return wrapper.extract_text(read_table(spark, sf_dir, "pages"))
+
+
+QUERIES |= {f.__name__: f for f in (op2_suffix_repeats, op8_kneser_ney, op9_wrapper_text)}
+
+
+def op3_nn_descent(spark, sf_dir):
+    return neighbours.nearest(read_table(spark, sf_dir, "embeddings"))
+
+
+QUERIES[op3_nn_descent.__name__] = op3_nn_descent

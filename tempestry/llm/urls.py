@@ -49,15 +49,16 @@ class DigestArray:
     by their strings.
     """
 
-    def __init__(self, folder):
-        self.keys = np.load(os.path.join(folder, "keys.npy"), mmap_mode="r")
-        self.ends = np.load(os.path.join(folder, "ends.npy"), mmap_mode="r")
-        self.blocked = np.load(os.path.join(folder, "blocked.npy"), mmap_mode="r")
-        self.lengths = np.load(os.path.join(folder, "lengths.npy")).tolist()
-        self.strings = np.load(os.path.join(folder, "strings.npy"), mmap_mode="r")
+    FILES = ("keys", "ends", "blocked", "lengths", "strings")
+
+    def __init__(self, place):
+        """``place`` gives the path of each of ``FILES``."""
+        loaded = (np.load(place(name), mmap_mode="r") for name in self.FILES)
+        self.keys, self.ends, self.blocked, lengths, self.strings = loaded
+        self.lengths = lengths.tolist()
 
     @staticmethod
-    def write(rules, folder):
+    def write(rules, place):
         """Store ``(verdict, rule)`` pairs; of a repeated rule the last one counts."""
         rules = {rule.encode(): verdict == "block" for verdict, rule in rules if "/" in rule}
         texts = sorted(rules, key=lambda r: (xxhash.xxh64_intdigest(r), r))
@@ -68,7 +69,7 @@ class DigestArray:
             "lengths": np.array(sorted({len(r.partition(b"/")[2].decode()) + 1 for r in texts}), dtype=np.int64),
             "strings": np.frombuffer(b"".join(texts), dtype=np.uint8),
         }.items():
-            np.save(os.path.join(folder, f"{name}.npy"), values)
+            np.save(place(name), values)
 
     def rule(self, i):
         return self.strings[self.ends[i] : self.ends[i + 1]].tobytes()
@@ -130,14 +131,14 @@ def judge_urls(
     if sum(len(r) + 24 for _, r in rules) > max_bytes:
         raise ValueError("the rules are larger than max_bytes; use judge_by_join")
     spark = pages.sparkSession
-    folder = os.path.join(tempfile.mkdtemp(prefix="rules-"), uuid.uuid4().hex)
-    os.mkdir(folder)
-    DigestArray.write(rules, folder)
-    spark.sparkContext.addFile(folder, recursive=True)
-    name, kind = os.path.basename(folder), pages.schema[key].dataType.simpleString()
+    folder, mark = tempfile.mkdtemp(prefix="rules-"), uuid.uuid4().hex
+    DigestArray.write(rules, lambda name: os.path.join(folder, f"{mark}-{name}.npy"))
+    for name in DigestArray.FILES:
+        spark.sparkContext.addFile(os.path.join(folder, f"{mark}-{name}.npy"))
+    kind = pages.schema[key].dataType.simpleString()
 
     def judge(batches):
-        array = DigestArray(SparkFiles.get(name))
+        array = DigestArray(lambda name: SparkFiles.get(f"{mark}-{name}.npy"))
         for batch in batches:
             rows = list(array.judge(batch.column("url").to_pylist()))
             host, path, rule, blocked = zip(*rows) if rows else ((), (), (), ())
