@@ -3,9 +3,10 @@
 Equal strings of ``length`` bytes have equal smallest grams, so the starts of all such
 strings ("windows") are cut into fragments by their smallest gram, and only fragments
 that share it can hold equal windows. Grams that the corpus shows once end there.
-Identical fragments are reduced to a class by a partial aggregate; the different
-fragments of a gram go to a suffix array, sorted in two stages: suffixes smaller than
-their successor directly, the others by scans over the buckets of their first byte.
+Identical fragments are reduced to a class by a partial aggregate. Classes that share
+the gram and the bytes on one side of it go to a suffix array of their windows, sorted in two
+stages: suffixes smaller than their successor directly, the others by scans over the
+buckets of their first byte.
 Neighbours in it with a common prefix of ``length`` bytes are equal windows, and all but
 the first in document order are removed.
 """
@@ -24,8 +25,8 @@ from tempestry.session import Scratch
 
 LENGTH = 100
 GRAM = 32
-#: Windows of one fragment, and bytes that are sorted at once.
-LONGEST, BLOCK = 128, 1 << 19
+#: Bytes of fragments whose windows are sorted at once.
+BLOCK = 1 << 21
 
 _rand = random.Random(20)
 _BYTE = np.array([_rand.getrandbits(64) for _ in range(256)], dtype=np.uint64)
@@ -43,38 +44,59 @@ class Grams:
     """Hashes of all grams of a block of bytes, and their sliding minima."""
 
     def __init__(self, most, gram=GRAM, length=LENGTH):
-        self.gram, self.span = gram, length - gram + 1
+        self.gram, self.span, self.length = gram, length - gram + 1, length
+        #: Context that any window has on one side of its gram at least.
+        self.side = (length - gram + 1) // 2
         self.up, self.down = _powers(_BASE, most), _powers(_UNBASE, most)
 
-    def hashes(self, block):
-        sums = np.zeros(len(block) + 1, dtype=np.uint64)
-        np.cumsum(_BYTE[block] * self.up[: len(block)], out=sums[1:])
-        h = (sums[self.gram :] - sums[: -self.gram]) * self.down[: len(block) - self.gram + 1]
-        h ^= h >> np.uint64(32)
-        h *= np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(29)
-        return h
-
-    def sliding(self, h, best):
-        """``best`` (np.minimum or np.maximum) over every ``span`` neighbours."""
+    def sums(self, block):
+        out = np.zeros(len(block) + 1, dtype=np.uint64)
+        np.cumsum(_BYTE[block] * self.up[: len(block)], out=out[1:])
+        return out
+
+    def hashes(self, sums, starts, width):
+        """Hash of the ``width`` bytes from each start (an array or a slice from 0)."""
+        h = (sums[starts + width] - sums[starts]) * self.down[starts]
+        return _mixed(h)
+
+    def sliding_min(self, h):
+        """The smallest of every ``span`` neighbours."""
         width, done = 1, h
         while 2 * width <= self.span:
-            done, width = best(done[:-width], done[width:]), 2 * width
+            done, width = np.minimum(done[:-width], done[width:]), 2 * width
         rest = self.span - width
-        return best(done[:-rest], done[rest:]) if rest else done
+        return np.minimum(done[:-rest], done[rest:]) if rest else done
+
+
+def _mixed(h):
+    h = h ^ (h >> np.uint64(32))
+    h *= np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(29)
+    return h
+
 
+_PLACE_BITS = 24  # of a gram within its block
 
-def fragments(texts, grams, length=LENGTH):
-    """The fragments of some texts: gram, digest, text number, start, windows, repeats.
 
-    ``repeats`` marks fragments whose own windows may be equal to each other.
+def fragments(texts, grams):
+    """The fragments of some texts, one for each gram that is the first smallest of a window.
+
+    Returns arrays: gram, digest of all bytes, left, right, text number, start, windows.
+    ``left`` and ``right`` hash the gram with the bytes beside it, 0 where no window of
+    the fragment has as many: equal windows of two fragments have the gram at the same
+    offset, and so agree in one of them.
     """
+    length, gram, side = grams.length, grams.gram, grams.side
     block = np.frombuffer(b"".join(texts), dtype=np.uint8)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    none = [np.empty(0, dtype=np.int64)] * 7
     if len(block) < length:
-        return [np.empty(0, dtype=np.int64)] * 6
-    h = grams.hashes(block)
-    least = grams.sliding(h, np.minimum)
+        return none
+    sums, n = grams.sums(block), len(block) - gram + 1
+    h = _mixed((sums[gram:] - sums[:-gram]) * grams.down[:n])
+    place = np.arange(n, dtype=np.uint64)
+    low = np.uint64((1 << _PLACE_BITS) - 1)
+    least = grams.sliding_min((h & ~low) | place)
     ends = np.cumsum(sizes)
     owner = np.repeat(np.arange(len(texts)), sizes)[: len(least)]
     valid = np.arange(len(least)) + length <= ends[owner]
@@ -83,46 +105,34 @@ def fragments(texts, grams, length=LENGTH):
     new &= valid
     starts = np.flatnonzero(new)
     if not len(starts):
-        return [np.empty(0, dtype=np.int64)] * 6
-    stops = np.minimum(np.append(starts[1:], len(least)), ends[owner[starts]] - length + 1)
-    # grams that are the smallest of some window, and come twice within one
-    span = grams.span
-    padded = np.concatenate([np.zeros(span - 1, np.uint64), np.where(valid, least, 0), np.zeros(span - 1, np.uint64)])
-    picked = np.flatnonzero(h == grams.sliding(padded, np.maximum)[: len(h)])
-    close = (picked[1:] - picked[:-1] < span) & (h[picked[1:]] == h[picked[:-1]])
-    inside = np.minimum(picked[:-1][close], len(least) - 1)
-    marked = np.zeros(len(starts), dtype=bool)
-    for at in (inside, np.maximum(picked[1:][close] - span + 1, 0)):
-        run = np.searchsorted(starts, at, side="right") - 1
-        marked[run[run >= 0]] = True
-    counts = stops - starts
-    pieces = -(-counts // LONGEST)
-    if (pieces > 1).any():
-        first = np.repeat(starts, pieces)
-        place = np.arange(len(first)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        stops, marked = np.repeat(stops, pieces), np.repeat(marked, pieces)
-        starts = first + place * LONGEST
-        counts = np.minimum(stops - starts, LONGEST)
-        marked |= counts >= span
+        return none
+    text = owner[starts]
+    stops = np.minimum(np.append(starts[1:], len(least)), ends[text] - length + 1)
+    anchor = (least[starts] & low).astype(np.int64)
+    before, after = anchor - starts, stops - 1 + length - gram - anchor
+    left = np.where(before >= side, grams.hashes(sums, np.maximum(anchor - side, 0), side + gram), np.uint64(0))
+    to = np.minimum(anchor, len(block) - gram - side)
+    right = np.where(after >= side, grams.hashes(sums, np.maximum(to, 0), gram + side), np.uint64(0))
     view, digest = memoryview(block), xxhash.xxh64_intdigest
     digests = np.fromiter(
-        (digest(view[a:b]) for a, b in zip(starts.tolist(), (starts + counts + length - 1).tolist())),
+        (digest(view[a:b]) for a, b in zip(starts.tolist(), (stops + length - 1).tolist())),
         np.uint64,
         len(starts),
     )
-    texts_of = owner[starts]
+    half = np.uint64(32)
     return [
-        least[starts].view(np.int64),
+        h[anchor].view(np.int64),
         digests.view(np.int64),
-        texts_of,
-        starts - (ends - sizes)[texts_of],
-        counts,
-        marked,
+        (left >> half).astype(np.uint32).view(np.int32),
+        (right >> half).astype(np.uint32).view(np.int32),
+        text,
+        starts - (ends - sizes)[text],
+        stops - starts,
     ]
 
 
 _FRAGMENT = pa.schema(
-    [("gram", pa.int64()), ("digest", pa.int64()), ("start", pa.int32()), ("windows", pa.int16()), ("repeats", pa.bool_())]
+    [("gram", pa.int64()), ("digest", pa.int64()), ("left", pa.int32()), ("right", pa.int32()), ("start", pa.int32()), ("windows", pa.int16())]
 )
 
 
@@ -141,74 +151,102 @@ def _cut(length, gram):
                 if size > most:
                     most = size
                     grams = Grams(most, gram, length)
-                g, d, text, start, windows, repeats = fragments(texts[at:to], grams, length)
-                out = emit(_FRAGMENT, gram=g, digest=d, start=start, windows=windows, repeats=repeats.astype(bool))
+                *columns, text, start, windows = fragments(texts[at:to], grams)
+                names = _FRAGMENT.names
+                out = emit(_FRAGMENT, **dict(zip(names, [*columns, start, windows])))
                 own = pa.array(np.asarray(text, dtype=np.int64) + at)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").take(own), batch.column("body").take(own), *out.columns],
-                    names=["doc_id", "body", *_FRAGMENT.names],
+                    names=["doc_id", "body", *names],
                 )
                 at = to
 
     return cut
 
 
-def two_stage_suffix_array(text: bytes, depth=None) -> list:
-    """Starts of the suffixes of ``text`` in order, by their first ``depth`` bytes at least.
+def _first_at_or_after(flags):
+    """For each place the first one from there on that is set; the last one must be."""
+    where = np.where(flags, np.arange(len(flags)), len(flags))
+    return np.minimum.accumulate(where[::-1])[::-1]
+
+
+def two_stage_order(text: bytes, starts, depth=LENGTH):
+    """The ``starts`` (sorted) in the order of the ``depth`` bytes that follow each.
 
     A suffix is of the first kind if it is smaller than its successor. Those are sorted
-    directly and stand at the end of the bucket of their first byte. One scan from left
-    to right then puts every other suffix at the next free place at the front of its
-    bucket as soon as its successor is met.
+    directly and stand at the end of the bucket of their first byte. The buckets are then
+    scanned in order: every other suffix follows from the place of its successor, in a
+    smaller bucket or placed before in the same one, and they fill the front of theirs.
+    Successors that are no starts are carried along up to the next of the first kind.
     """
-    n = len(text)
-    if not n:
-        return []
-    b = np.frombuffer(text, dtype=np.uint8).astype(np.int16)
-    step = np.sign(np.append(b[1:], -1) - b)
-    where = np.where(step != 0, np.arange(n), n)
-    ahead = np.minimum.accumulate(where[::-1])[::-1]
-    small = step[np.minimum(ahead, n - 1)] > 0
-    sizes = np.bincount(b, minlength=256)
-    heads = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    direct = np.flatnonzero(small).tolist()
-    if depth is None:
-        direct.sort(key=lambda i: text[i:])
-    else:
-        direct.sort(key=lambda i: text[i : i + depth])
-    order = [-1] * n
-    tails = heads + sizes - np.bincount(b[small], minlength=256)
-    at = np.array(direct, dtype=np.int64)
-    if len(at):
-        first = b[at]
-        rank = np.arange(len(at)) - np.searchsorted(first, first, side="left")
-        for place, start in zip((tails[first] + rank).tolist(), direct):
-            order[place] = start
-    free, induced = heads.tolist(), (~small).tolist()
-    order[free[text[-1]]] = n - 1
-    free[text[-1]] += 1
-    for i in range(n):
-        j = order[i] - 1
-        if j >= 0 and induced[j]:
-            c = text[j]
-            order[free[c]] = j
-            free[c] += 1
-    return order
+    if not len(starts):
+        return starts
+    end = len(text)
+    b = np.frombuffer(text + bytes(depth + 2), dtype=np.uint8)
+    step = np.diff(b.astype(np.int16))
+    turns = step != 0
+    turns[-1] = True
+    small = step[_first_at_or_after(turns)] > 0
+    small[end:] = True  # the empty suffix ends all chains
+    till = _first_at_or_after(small)
+    last = starts[np.append(starts[1:] != starts[:-1] + 1, True)]
+    last = last[~small[last]]
+    extra = till[last + 1] - last
+    carried = np.repeat(last + 1, extra) + np.arange(extra.sum()) - np.repeat(np.cumsum(extra) - extra, extra)
+    wanted = np.zeros(end + 1, dtype=bool)
+    wanted[starts] = True
+    carried = np.unique(carried[~wanted[carried]])
+    all_of = np.sort(np.concatenate([starts, carried])) if len(carried) else starts
+    n, windows = len(all_of), np.lib.stride_tricks.sliding_window_view(b, depth)
+
+    def sort(places):
+        keys = windows[all_of[places]].view(f"S{depth}").ravel()
+        return places[np.argsort(keys, kind="stable")]
+
+    direct = sort(np.flatnonzero(small[all_of]))
+    first = b[all_of]
+    direct_from = np.searchsorted(first[direct], np.arange(257))
+    others = np.flatnonzero(~small[all_of])
+    others = others[np.argsort(first[others], kind="stable")]
+    others_from = np.searchsorted(first[others], np.arange(257))
+    rank, order, at = np.full(n + 1, -1, dtype=np.int64), np.empty(n, dtype=np.int64), 0
+    for c in range(256):
+        waiting = others[others_from[c] : others_from[c + 1]]
+        own = direct[direct_from[c] : direct_from[c + 1]]
+        while len(waiting):
+            known = rank[waiting + 1] >= 0
+            ready = waiting[known]
+            if not len(ready):  # zero bytes up to the end of the text
+                own, waiting = sort(np.concatenate([own, waiting])), waiting[:0]
+                break
+            ready = ready[np.argsort(rank[ready + 1], kind="stable")]
+            order[at : at + len(ready)] = ready
+            rank[ready] = np.arange(at, at + len(ready))
+            at, waiting = at + len(ready), waiting[~known]
+        order[at : at + len(own)] = own
+        rank[own] = np.arange(at, at + len(own))
+        at += len(own)
+    order = all_of[order]
+    return order[wanted[order]]
 
 
 def common_prefixes(text: bytes, order, most):
-    """Common prefix of each suffix in ``order`` with the one before it, up to ``most``."""
-    n = len(order)
-    padded = np.frombuffer(text + bytes(most), dtype=np.uint8)
-    out = np.zeros(n, dtype=np.int64)
-    going = np.arange(1, n)
-    before, here = order[:-1], order[1:]
-    for k in range(most):
-        same = padded[here[going - 1] + k] == padded[before[going - 1] + k]
-        going = going[same]
+    """Common prefix of each suffix in ``order`` with the one before it, up to ``most``.
+
+    Eight bytes at a time where all agree; counts whole groups of eight, and the rest.
+    """
+    out = np.zeros(len(order), dtype=np.int64)
+    padded = np.frombuffer(text + bytes(most + 8), dtype=np.uint8)
+    words = np.lib.stride_tricks.sliding_window_view(padded, 8)
+    going = np.arange(1, len(order))
+    for k in range(0, most, 8):
+        width = min(8, most - k)
+        same = words[order[going] + k][:, :width] == words[order[going - 1] + k][:, :width]
+        agree = np.where(same.all(axis=1), width, same.argmin(axis=1))
+        out[going] = k + agree
+        going = going[agree == width]
         if not len(going):
             break
-        out[going] = k + 1
     return out
 
 
@@ -221,14 +259,19 @@ def later_windows(parts, length=LENGTH):
     text = b"".join(p[2] for p in parts)
     sizes = np.array([len(p[2]) for p in parts])
     froms = np.cumsum(sizes) - sizes
-    order = np.array(two_stage_suffix_array(text, length), dtype=np.int64)
+    counts = np.maximum(sizes - length + 1, 0)
+    part_of = np.repeat(np.arange(len(parts)), counts)
+    starts = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + froms[part_of]
+    if not len(starts):
+        return starts, starts
+    order = two_stage_order(text, starts, length)
     part = np.searchsorted(froms, order, side="right") - 1
     offset = order - froms[part]
-    window = offset + length <= sizes[part]
-    order, part, offset = order[window], part[window], offset[window]
-    if not len(order):
-        return order, order
-    group = np.cumsum(common_prefixes(text, order, length) < length)
+    fresh = common_prefixes(text, order, length) < length
+    shared = ~(fresh & np.append(fresh[1:], True))  # not alone in its group
+    group, part, offset = np.cumsum(fresh)[shared], part[shared], offset[shared]
+    if not len(group):
+        return part, offset
     keys = {k: i for i, k in enumerate(sorted({p[0] for p in parts}))}
     doc = np.array([keys[p[0]] for p in parts])[part]
     place = np.array([p[1] for p in parts])[part] + offset
@@ -288,22 +331,20 @@ def _sort_fragments(length):
 def _read_fragments(length):
     """The bytes of the wanted fragments of each text; crowded grams window by window."""
 
+    def window_gram(piece):
+        return int(np.uint64(xxhash.xxh64_intdigest(piece, 7)).view(np.int64))
+
     def read(batches):
         for batch in batches:
             out = []
-            wanted = batch.column("wanted").to_pylist()
-            for doc_id, body, text, parts in zip(
-                batch.column("doc_id").to_pylist(), batch.column("body").to_pylist(), batch.column("text").to_pylist(), wanted
-            ):
-                for p in parts:
-                    a, n = p["start"], p["windows"]
-                    if p["crowded"]:
-                        for s in range(a, a + n):
-                            piece = text[s : s + length]
-                            gram = int(np.uint64(xxhash.xxh64_intdigest(piece, 7)).view(np.int64))
-                            out.append((gram, doc_id, body, s, piece))
+            names = ("doc_id", "body", "text", "grams", "starts", "windows", "crowded")
+            for doc_id, body, text, *lists in zip(*(batch.column(c).to_pylist() for c in names)):
+                for gram, a, n, crowded in zip(*lists):
+                    if crowded:
+                        pieces = ((s, text[s : s + length]) for s in range(a, a + n))
+                        out += [(window_gram(piece), doc_id, body, s, piece) for s, piece in pieces]
                     else:
-                        out.append((p["gram"], doc_id, body, a, text[a : a + n + length - 1]))
+                        out.append((gram, doc_id, body, a, text[a : a + n + length - 1]))
                 if len(out) > 20_000:
                     yield _fragment_rows(out)
                     out = []
@@ -335,29 +376,21 @@ def merged(ranges):
 def repeated_ranges(docs: DataFrame, scratch: Scratch, length=LENGTH, gram=GRAM, crowd=2000) -> DataFrame:
     """Byte ranges ``(doc_id, body, a, b)`` that are to be removed; they may overlap.
 
-    ``docs`` has doc_id, body (a hash of the text) and text (bytes). A gram with more
-    than ``crowd`` different fragments is dealt out anew by the hash of each whole
-    window, so no task sorts an unbounded group.
+    ``docs`` has doc_id, body (a hash of the text) and text (bytes). Where more than
+    ``crowd`` different fragments agree beside a gram, they are dealt out anew by the
+    hash of each whole window, so no task sorts an unbounded group.
     """
-    kinds = "doc_id long, body long, gram long, digest long, start int, windows short, repeats boolean"
+    kinds = "doc_id long, body long, gram long, digest long, left int, right int, start int, windows short"
     all_of = scratch.save(docs.mapInArrow(_cut(length, gram), kinds), "fragments")
     shared = scratch.save(
-        all_of.groupBy("gram")
-        .agg(F.count("*").alias("n"), F.max("repeats").alias("r"))
-        .where("n > 1 or r")
-        .select("gram"),
-        "shared",
+        all_of.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "shared"
     )
     hits = scratch.save(all_of.join(shared, "gram", "left_semi"), "hits")
     scratch.drop("fragments", "shared")
     place = F.struct("doc_id", "body", "start")
     classes = scratch.save(
-        hits.groupBy("gram", "digest")
-        .agg(
-            F.min(place).alias("first"),
-            F.count("*").alias("n"),
-            F.first("windows").alias("windows"),
-            F.max("repeats").alias("repeats"),
+        hits.groupBy("gram", "digest", "left", "right", "windows").agg(
+            F.min(place).alias("first"), F.count("*").alias("n")
         ),
         "classes",
     )
@@ -371,16 +404,33 @@ def repeated_ranges(docs: DataFrame, scratch: Scratch, length=LENGTH, gram=GRAM,
             (F.col("start") + F.col("windows") + length - 1).cast("long").alias("b"),
         )
     )
-    mixed = (
-        classes.groupBy("gram")
-        .agg(F.count("*").alias("k"), F.max("repeats").alias("r"))
-        .where("k > 1 or r")
-        .select("gram", (F.col("k") > crowd).alias("crowded"))
+    # fragments of other content that agree with a class on one side of the gram
+    sides = F.array(
+        *[F.struct(F.lit(s).alias("side"), F.col(s).alias("context")) for s in ("left", "right")]
+    )
+    met = (
+        classes.select("gram", F.inline(sides))
+        .where("context <> 0")
+        .groupBy("gram", "side", "context")
+        .agg(F.count("*").alias("k"))
+        .where("k > 1")
+        .select("gram", "side", "context", "k")
     )
+    met = scratch.save(met, "met")
+    crowds = met.groupBy("gram").agg((F.max("k") > crowd).alias("crowded"))
     wanted = (
-        classes.join(mixed, "gram")
+        classes.select("gram", "digest", "first", "windows", F.inline(sides))
+        .join(met, ["gram", "side", "context"])
+        .groupBy("gram", "digest")
+        .agg(F.first("first").alias("first"), F.first("windows").alias("windows"))
+        .join(crowds, "gram")
         .groupBy(F.col("first.doc_id").alias("doc_id"), F.col("first.body").alias("body"))
-        .agg(F.collect_list(F.struct("gram", F.col("first.start").alias("start"), "windows", "crowded")).alias("wanted"))
+        .agg(
+            F.collect_list("gram").alias("grams"),
+            F.collect_list("first.start").alias("starts"),
+            F.collect_list("windows").alias("windows"),
+            F.collect_list("crowded").alias("crowded"),
+        )
     )
     found = (
         _with(docs, wanted, "inner")

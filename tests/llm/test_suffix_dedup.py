@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -65,19 +66,30 @@ def test_crowded_grams_are_dealt_by_window(spark):
     check(docs)
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.one_of(st.binary(max_size=60), st.lists(st.sampled_from(b"ab"), max_size=80).map(bytes)))
-def test_two_stage_order_is_the_suffix_order(text):
-    assert suffix_dedup.two_stage_suffix_array(text) == sorted(range(len(text)), key=lambda i: text[i:])
+@settings(max_examples=300, deadline=None)
+@given(st.one_of(st.binary(max_size=60), st.lists(st.sampled_from(b"ab\0"), max_size=80).map(bytes)), st.integers(1, 9), st.randoms())
+def test_two_stage_order_is_the_order_of_the_suffixes(text, depth, r):
+    starts = np.array(sorted(r.sample(range(len(text)), r.randint(0, len(text)))), dtype=np.int64)
+    for some in (starts, np.arange(len(text))):
+        got = suffix_dedup.two_stage_order(text, some, depth).tolist()
+        assert sorted(got) == some.tolist()
+        keys = [text[i : i + depth].ljust(depth, b"\0") for i in got]
+        assert keys == sorted(keys)
 
 
 @settings(max_examples=100, deadline=None)
-@given(st.lists(st.lists(st.sampled_from(b"abc"), max_size=40).map(bytes), max_size=6), st.integers(2, 6))
-def test_fragments_hold_every_window_once(texts, length):
+@given(st.lists(st.lists(st.sampled_from(b"abc"), max_size=40).map(bytes), max_size=6), st.integers(4, 9))
+def test_equal_windows_share_a_gram_and_a_side(texts, length):
     grams = suffix_dedup.Grams(1000, 2, length)
-    gram, _, text, start, windows, _ = suffix_dedup.fragments(texts, grams, length)
-    got = [(t, s + k, g) for g, t, s, n in zip(gram.tolist(), text.tolist(), start.tolist(), windows.tolist()) for k in range(n)]
-    assert sorted(x[:2] for x in got) == [(t, i) for t, x in enumerate(texts) for i in range(len(x) - length + 1)]
-    by_window = {}
-    for t, i, g in got:
-        assert by_window.setdefault(texts[t][i : i + length], g) == g
+    found = suffix_dedup.fragments(texts, grams)
+    got, by_window = [], {}
+    for gram, digest, left, right, t, start, n in zip(*(c.tolist() for c in found)):
+        for i in range(start, start + n):
+            got.append((t, i))
+            by_window.setdefault(texts[t][i : i + length], []).append((gram, digest, left, right))
+    assert sorted(got) == [(t, i) for t, x in enumerate(texts) for i in range(len(x) - length + 1)]
+    for group in by_window.values():
+        gram, digest, left, right = group[0]
+        for other in group[1:]:
+            assert other[0] == gram
+            assert other[1] == digest or (left and other[2] == left) or (right and other[3] == right)
