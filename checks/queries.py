@@ -2,6 +2,8 @@
 
 from functools import lru_cache
 
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,7 @@ from tempestry.operators import (
 )
 from tempestry.operators.ranking import sort_desc, top_k
 from tempestry.plans import rollup
+from tempestry.schema import MAGNITUDE_EDGES
 from tempestry.session import scratch_path
 from tempestry.sources import (
     cache_clean,
@@ -577,8 +580,10 @@ on_storm(
 )
 on_storm(
     "exclude_year",
-    lambda df: rows.exclude_years(df, 2001).select("EVENT_ID", "YEAR"),
-    "SELECT EVENT_ID, YEAR FROM storm WHERE YEAR <> 2001",
+    lambda df: rows.exclude_years(
+        df.withColumn("YEAR", F.when(F.col("EVENT_ID") % 7 != 0, F.col("YEAR"))), 2001
+    ).select("EVENT_ID", "YEAR"),
+    "SELECT * FROM (SELECT EVENT_ID, CASE WHEN EVENT_ID % 7 <> 0 THEN YEAR END AS YEAR FROM storm) WHERE YEAR IS DISTINCT FROM 2001",
 )
 
 
@@ -753,8 +758,11 @@ def page_links(spark, sf_dir):
 
 on_storm(
     "dataset_overview",
-    lambda df: dataset_overview(df).select("row_count", "column_count"),
-    "SELECT count(*) AS row_count, 14 AS column_count FROM storm",
+    lambda df: dataset_overview(df.repartition(5, "EVENT_ID")).withColumn(
+        "column_names", F.array_join("column_names", ",")
+    ),
+    f"SELECT count(*) AS row_count, 14 AS column_count, 5 AS partition_count,"
+    f" '{_STORM_COLUMNS.replace(', ', ',')}' AS column_names FROM storm",
 )
 on_storm(
     "null_profile",
@@ -843,21 +851,20 @@ on_storm(
 
 @check(
     f"""{FEATURE_SQL}, density AS (SELECT n_name, c_mktsegment, count(*) AS people FROM customer
-  JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 9000 GROUP BY 1, 2)
+  JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2)
 SELECT EVENT_ID, CAST(coalesce(people, n) AS DOUBLE) AS people
 FROM counted LEFT JOIN density ON STATE = n_name AND CZ_NAME = c_mktsegment"""
 )
 def density_join(spark, sf_dir):
-    """Wealthy customers per place as a density; places without any fall back."""
+    """Customers per place as a density that lists every place twice."""
     density = (
         table(spark, sf_dir, "customer")
-        .where("c_acctbal > 9000")
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .groupBy(F.col("n_name").alias("STATE"), F.col("c_mktsegment").alias("CZ_NAME"))
         .agg(F.count(F.lit(1)).alias("people"))
     )
     events = storm(spark, sf_dir).select("EVENT_ID", "STATE", "CZ_NAME")
-    return location.with_density(events, density, "people").select("EVENT_ID", "people")
+    return location.with_density(events, density.unionAll(density), "people").select("EVENT_ID", "people")
 
 
 @check(
@@ -888,7 +895,7 @@ def string_index(spark, sf_dir):
 
 def scored_events(spark, sf_dir) -> DataFrame:
     """Features with a fixed score: the magnitude; above 50 predicts harm."""
-    return features.build_features(storm(spark, sf_dir)).select(
+    return features.build_features(storm(spark, sf_dir), place_counts=False).select(
         "*",
         features.split_name().alias("split"),
         F.when(F.col("MAGNITUDE") > 50, 1.0).otherwise(0.0).alias("prediction"),
@@ -1090,6 +1097,11 @@ def trained(spark, sf_dir):
     return _trained(spark.sparkContext.applicationId, spark, sf_dir)
 
 
+def _unseen(spark, sf_dir):
+    """The validation rows."""
+    return features.split3(features.build_features(storm(spark, sf_dir)))[1]
+
+
 def importances(spark, sf_dir):
     model, test = trained(spark, sf_dir)
     return forest.feature_importance(model, model.transform(test))
@@ -1103,10 +1115,15 @@ def rf_predictions(spark, sf_dir):
 
 @check()
 def rf_quality(spark, sf_dir):
+    """Both parts that the model has not seen, as the report has them."""
     model, test = trained(spark, sf_dir)
-    scored = model.transform(test)
-    auc = F.lit(evaluation.area_under_roc(scored)).alias("test_auc")
-    return evaluation.accuracy(scored).select(auc, "accuracy")
+    parts = {"validation": _unseen(spark, sf_dir), "test": test}
+    frames = []
+    for name, part in parts.items():
+        scored = model.transform(part)
+        auc = F.lit(evaluation.area_under_roc(scored)).alias("auc")
+        frames.append(evaluation.accuracy(scored).select(F.lit(name).alias("part"), auc, "accuracy"))
+    return frames[0].unionAll(frames[1])
 
 
 @check()
@@ -1142,12 +1159,17 @@ def permutation_importance(spark, sf_dir):
 
 # --- rollup ---------------------------------------------------------------------------
 
+_MEASURES = ("INJURIES_DIRECT", "INJURIES_INDIRECT", "DEATHS_DIRECT", "DEATHS_INDIRECT")
+_VALUES = {c: f"CAST({c} AS DOUBLE)" for c in _MEASURES} | {
+    c: amount_sql(c) for c in ("DAMAGE_PROPERTY", "DAMAGE_CROPS")
+}
 _ROLLED_SQL = f"""
 , flagged AS (SELECT *, {HARM_SQL} AS h, {MAG_SQL} AS usable, {_COMPLETE_SQL} AS complete,
   {SEVERE_SQL} AS severe, {SCALE_SQL} AS severe_scale_,
-  {amount_sql('DAMAGE_PROPERTY')} AS property FROM storm)
+  {', '.join(f"{v} AS v_{c.lower()}" for c, v in _VALUES.items())} FROM storm)
 SELECT YEAR, STATE, CZ_NAME, EVENT_TYPE, MAGNITUDE_TYPE, count(*) AS events,
   count(*) FILTER (WHERE h > 0) AS harmful_events, CAST(sum(h) AS BIGINT) AS harm,
+  count(*) AS readable_events,
   CAST(sum({INJURIES_SQL}) AS BIGINT) AS injuries, CAST(sum({DEATHS_SQL}) AS BIGINT) AS deaths,
   count(*) FILTER (WHERE severe) AS severe_impact,
   count(*) FILTER (WHERE severe_scale_) AS severe_scale,
@@ -1155,17 +1177,356 @@ SELECT YEAR, STATE, CZ_NAME, EVENT_TYPE, MAGNITUDE_TYPE, count(*) AS events,
   round(sum(MAGNITUDE) FILTER (WHERE usable), 4) AS magnitude_sum,
   max(MAGNITUDE) FILTER (WHERE usable) AS magnitude_max,
   count(*) FILTER (WHERE usable AND MAGNITUDE > 50) AS over_50,
-  count(*) FILTER (WHERE complete) AS complete_events,
-  round(sum(property) FILTER (WHERE complete), 2) AS sum_damage_property
+  count(*) FILTER (WHERE usable AND MAGNITUDE > 20) AS over_20,
+  {', '.join(
+      f"count(*) FILTER (WHERE usable AND MAGNITUDE >= {a} AND MAGNITUDE < {b}) AS band_{i}"
+      for i, (a, b) in enumerate(zip(("'-inf'", *MAGNITUDE_EDGES), (*MAGNITUDE_EDGES, "'inf'")))
+  )},
+  {', '.join(
+      f"count(v_{c.lower()}) FILTER (WHERE complete) AS n_{c.lower()},"
+      f" round(sum(v_{c.lower()}) FILTER (WHERE complete), 2) AS sum_{c.lower()}"
+      for c in _VALUES
+  )},
+  count(*) FILTER (WHERE complete) AS complete_events
 FROM flagged GROUP BY 1, 2, 3, 4, 5"""
 
 
 @check(_ROLLED_SQL)
 def event_rollup(spark, sf_dir):
     rolled = rollup.event_rollup(storm(spark, sf_dir))
-    return rounded(rolled, magnitude_sum=4, sum_damage_property=2).select(
-        *rollup.GRAIN,
-        *("events", "harmful_events", "harm", "injuries", "deaths", "severe_impact"),
-        *("severe_scale", "magnitudes", "magnitude_sum", "magnitude_max", "over_50"),
-        *("complete_events", "sum_damage_property"),
+    sums = {f"sum_{c.lower()}": 2 for c in _VALUES}
+    return rounded(rolled, magnitude_sum=4, **sums)
+
+
+# --- further forms of the inputs ------------------------------------------------------
+
+# Fixed literals that stand in for every 23rd, 29th ... value of a text column.
+_LITERALS = ("nan", "nanK", "inf", "abc", "", " ", "7.9", "3e9")
+_TEXT_COLUMNS = (*_MEASURES, "DAMAGE_PROPERTY", "DAMAGE_CROPS", "MAGNITUDE")
+
+
+def text_storm(spark, sf_dir) -> DataFrame:
+    """The events with all measures as text, literals mixed in."""
+    key = F.col("EVENT_ID")
+    literal = F.element_at(F.array(*map(F.lit, _LITERALS)), (key % len(_LITERALS) + 1).cast("int"))
+    return storm(spark, sf_dir).withColumns(
+        {
+            c: F.when(key % (11 + i) == 3, literal).otherwise(F.col(c).cast("string"))
+            for i, c in enumerate(_TEXT_COLUMNS)
+        }
+    )
+
+
+TEXT_SQL = (
+    ", texts AS (SELECT * REPLACE ("
+    + ", ".join(
+        f"CASE WHEN EVENT_ID % {11 + i} = 3 THEN [{', '.join(repr(x) for x in _LITERALS)}]"
+        f"[EVENT_ID % {len(_LITERALS)} + 1] ELSE CAST({c} AS VARCHAR) END AS {c}"
+        for i, c in enumerate(_TEXT_COLUMNS)
+    )
+    + ") FROM storm)"
+)
+
+
+def _number_sql(expression):
+    """Finite or infinite number, NULL for NaN and for what is none."""
+    return f"(CASE WHEN NOT isnan({expression}) THEN {expression} END)"
+
+
+def _text_count_sql(column):
+    double = f"TRY_CAST({column} AS DOUBLE)"
+    return f"coalesce(CASE WHEN isfinite({double}) THEN TRY_CAST(trunc({double}) AS BIGINT) END, 0)"
+
+
+def _strict_count_sql(column):
+    return rf"(CASE WHEN regexp_matches({column}, '^\s*[+-]?\d+\s*$') THEN CAST({column} AS BIGINT) ELSE 0 END)"
+
+
+def _text_amount_sql(column):
+    return f"coalesce({_number_sql(amount_sql(column))}, 0)"
+
+
+_TEXT_HARM_SQL = "(" + " + ".join(_text_count_sql(c) for c in _MEASURES) + ")"
+
+
+@check(
+    f"""{TEXT_SQL}
+SELECT EVENT_ID, ({_text_amount_sql('DAMAGE_PROPERTY')} > 50000 OR {_text_amount_sql('DAMAGE_CROPS')} > 50000
+  OR {_strict_count_sql('DEATHS_DIRECT')} + {_strict_count_sql('DEATHS_INDIRECT')} > 0
+  OR {_strict_count_sql('INJURIES_DIRECT')} + {_strict_count_sql('INJURIES_INDIRECT')} > 5) AS severe,
+  CAST({_TEXT_HARM_SQL} AS BIGINT) AS TOTAL_HARM FROM texts"""
+)
+def severe_flag_text(spark, sf_dir):
+    df = rows.with_total_harm(text_storm(spark, sf_dir))
+    return df.select("EVENT_ID", severe_by_impact(df).alias("severe"), "TOTAL_HARM")
+
+
+@check(
+    f"""{TEXT_SQL}
+SELECT EVENT_TYPE, {', '.join(
+    f"round(avg({_number_sql(amount_sql(c))}) FILTER (WHERE isfinite({_number_sql(amount_sql(c))})), 4) AS avg_{c.lower()}"
+    for c in ('DAMAGE_PROPERTY', 'DAMAGE_CROPS')
+)}
+FROM texts WHERE EVENT_TYPE IN ('Flood', 'Flash Flood') AND nullif(DAMAGE_PROPERTY, '') IS NOT NULL
+  AND nullif(DAMAGE_CROPS, '') IS NOT NULL AND DAMAGE_PROPERTY <> 'inf' AND DAMAGE_CROPS <> 'inf'
+GROUP BY EVENT_TYPE"""
+)
+def flood_means_text(spark, sf_dir):
+    """A NaN is left out of the mean; infinite damage is filtered by the caller."""
+    df = text_storm(spark, sf_dir).where("DAMAGE_PROPERTY <> 'inf' AND DAMAGE_CROPS <> 'inf'")
+    means = damage.mean_by_type(df, measures=("DAMAGE_PROPERTY", "DAMAGE_CROPS"))
+    return rounded(means, avg_damage_property=4, avg_damage_crops=4)
+
+
+_TEXT_MAGNITUDE_SQL = "coalesce(" + _number_sql("TRY_CAST(MAGNITUDE AS DOUBLE)") + ", 0)"
+
+
+@check(
+    f"""{TEXT_SQL}
+SELECT EVENT_ID, {_TEXT_MAGNITUDE_SQL} = 'inf'::DOUBLE AS infinite,
+  CASE WHEN isfinite({_TEXT_MAGNITUDE_SQL}) THEN {_TEXT_MAGNITUDE_SQL} END AS MAGNITUDE,
+  {_text_count_sql('DEATHS_DIRECT')} AS DEATHS_DIRECT FROM texts"""
+)
+def fill_missing_text(spark, sf_dir):
+    filled = rows.fill_missing(text_storm(spark, sf_dir), {"MAGNITUDE": 0.0, "DEATHS_DIRECT": 0})
+    infinite = F.col("MAGNITUDE") == float("inf")
+    return filled.select(
+        "EVENT_ID",
+        infinite.alias("infinite"),
+        F.when(~infinite, F.col("MAGNITUDE")).alias("MAGNITUDE"),
+        "DEATHS_DIRECT",
+    )
+
+
+@check(
+    f"""{TEXT_SQL}
+, counted AS (SELECT *, CASE WHEN STATE IS NULL OR CZ_NAME IS NULL THEN 1
+    ELSE count(*) OVER (PARTITION BY STATE, CZ_NAME) END AS n FROM texts)
+SELECT EVENT_ID, EVENT_TYPE, STATE, coalesce(MAGNITUDE_TYPE, 'NONE') AS MAGNITUDE_TYPE,
+  CASE WHEN isfinite({_TEXT_MAGNITUDE_SQL}) THEN {_TEXT_MAGNITUDE_SQL} END AS MAGNITUDE,
+  n AS EVENT_COUNT_PER_CZ, CASE WHEN {_TEXT_HARM_SQL} > 0 THEN 1 ELSE 0 END AS has_harm
+FROM counted WHERE EVENT_TYPE IS NOT NULL AND STATE IS NOT NULL"""
+)
+def feature_table_text(spark, sf_dir):
+    built = features.build_features(text_storm(spark, sf_dir))
+    finite = F.when(F.abs("MAGNITUDE") < float("inf"), F.col("MAGNITUDE"))
+    return built.withColumn("MAGNITUDE", finite)
+
+
+@check(
+    f"""
+, wide AS (SELECT *, YEAR * 1000 + EVENT_ID % 97 AS wide_year FROM storm),
+yearly AS (SELECT wide_year, avg(MAGNITUDE) AS m FROM wide WHERE {MAG_SQL} GROUP BY wide_year),
+ranked AS (SELECT
+  rank() OVER (ORDER BY wide_year) + (count(*) OVER (PARTITION BY wide_year) - 1) / 2.0 AS ry,
+  rank() OVER (ORDER BY m) + (count(*) OVER (PARTITION BY m) - 1) / 2.0 AS rm FROM yearly)
+SELECT round(corr(ry, rm), 6) AS rho FROM ranked"""
+)
+def spearman_wide_years(spark, sf_dir):
+    """Years far beyond 16 bits, and many of them."""
+    wide = F.col("YEAR") * 1000 + (F.col("EVENT_ID") % 97).cast("int")
+    return rounded(trend.spearman_trend(storm(spark, sf_dir).withColumn("YEAR", wide)), rho=6)
+
+
+@check(
+    f"SELECT {_STORM_COLUMNS},"
+    " CASE WHEN EVENT_ID % 3 = 1 THEN 'note ' || EVENT_TYPE END AS NOTE FROM storm"
+)
+def mixed_headers(spark, sf_dir):
+    """One folder whose files have the same columns, reordered ones, and one more."""
+    path = scratch_path(spark, "mixed")
+    events = storm(spark, sf_dir)
+    noted = events.withColumn("NOTE", F.concat(F.lit("note "), F.col("EVENT_TYPE")))
+    write_csv(events.where("EVENT_ID % 3 = 0"), f"{path}/a")
+    write_csv(noted.where("EVENT_ID % 3 = 1").select("NOTE", *events.columns), f"{path}/b")
+    write_csv(events.where("EVENT_ID % 3 = 2").select(*reversed(events.columns)), f"{path}/c")
+    return read_events_csv(spark, path)
+
+
+@check(
+    "SELECT EVENT_ID, EVENT_ID % 5 IN (1, 2) AS ragged,"
+    " CASE WHEN EVENT_ID % 5 <> 1 THEN 'x, y' END AS PLACE FROM storm"
+)
+def csv_file_rejects(spark, sf_dir):
+    """Records with a field too few and a field too many, told apart from the others."""
+    path = scratch_path(spark, "ragged")
+    key = F.col("EVENT_ID")
+    text = key.cast("string")
+    line = (
+        F.when(key % 5 == 1, text)
+        .when(key % 5 == 2, F.concat(text, F.lit(',"x, y",7')))
+        .otherwise(F.concat(text, F.lit(',"x, y"')))
     )
+    lines = storm(spark, sf_dir).select(line.alias("value"))
+    header = F.lit("EVENT_ID,PLACE").alias("value")
+    per_file = spark.range(1).select(header)
+    per_file.unionAll(lines).coalesce(1).write.text(path)
+    read = read_events_csv(spark, path, multi_line=False, reject_column="rejected")
+    return read.select("EVENT_ID", F.col("rejected").isNotNull().alias("ragged"), "PLACE")
+
+
+@check(
+    f"""{FEATURE_SQL}
+, seen AS (SELECT STATE, CZ_NAME, count(*) AS m FROM storm WHERE STATE IS NOT NULL AND CZ_NAME IS NOT NULL
+  AND ('0x' || substr(md5(CAST(EVENT_ID AS VARCHAR) || ':42'), 1, 8))::BIGINT % 100 < 70 GROUP BY 1, 2)
+SELECT EVENT_ID, coalesce(m, 1) AS EVENT_COUNT_PER_CZ FROM storm LEFT JOIN seen USING (STATE, CZ_NAME)
+WHERE EVENT_TYPE IS NOT NULL AND STATE IS NOT NULL"""
+)
+def train_only_counts(spark, sf_dir):
+    """Place counts taken on the training rows only."""
+    events = storm(spark, sf_dir)
+    counts = location.location_counts(features.split3(events)[0])
+    return features.build_features(events, counts=counts).select("EVENT_ID", "EVENT_COUNT_PER_CZ")
+
+
+# --- vectors, a tree and donors that SQL can state ------------------------------------
+
+_INDEX_SQL = FEATURE_SQL + "".join(
+    f""", {c.lower()}_index AS (SELECT {c}, row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS i,
+  count(*) OVER () AS n FROM features GROUP BY {c})"""
+    for c in features.CATEGORICAL
+)
+_ENCODED_SQL = (
+    f"""{_INDEX_SQL}
+, encoded AS (SELECT f.*, e.i AS e, s.i AS s, m.i AS m, e.n AS ne, s.n AS ns, m.n AS nm FROM features f
+  JOIN event_type_index e USING (EVENT_TYPE) JOIN state_index s USING (STATE)
+  JOIN magnitude_type_index m USING (MAGNITUDE_TYPE))"""
+)
+
+
+def encoded(spark, sf_dir) -> DataFrame:
+    rows_ = features.with_interaction_product(features.build_features(storm(spark, sf_dir)))
+    stages = features.feature_stages(interactions=True)
+    return Pipeline(stages=stages).fit(rows_).transform(rows_)
+
+
+def slots(df: DataFrame, vector: str) -> DataFrame:
+    """(EVENT_ID, slot, value) of the slots that are not 0."""
+    values = df.select("EVENT_ID", F.posexplode(vector_to_array(vector)).alias("slot", "value"))
+    return rounded(values.where("value <> 0"), value=4)
+
+
+@check(
+    f"""{_ENCODED_SQL}
+SELECT EVENT_ID, 'EVENT_TYPE' AS column_name, CAST(e AS INT) AS slot, 1e0 AS value FROM encoded
+UNION ALL SELECT EVENT_ID, 'STATE', CAST(s AS INT), 1e0 FROM encoded
+UNION ALL SELECT EVENT_ID, 'MAGNITUDE_TYPE', CAST(m AS INT), 1e0 FROM encoded"""
+)
+def one_hot_slots(spark, sf_dir):
+    df = encoded(spark, sf_dir)
+    parts = [
+        slots(df, f"{c}_vec").withColumn("column_name", F.lit(c)) for c in features.CATEGORICAL
+    ]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+
+
+@check(
+    f"""{_ENCODED_SQL}
+SELECT EVENT_ID, CAST(e * ns + s AS INT) AS slot, 1e0 AS value FROM encoded"""
+)
+def category_interaction_slots(spark, sf_dir):
+    return slots(encoded(spark, sf_dir), "EVENT_TYPE_X_STATE")
+
+
+@check(
+    f"""{_ENCODED_SQL}
+SELECT EVENT_ID, CAST(slot AS INT) AS slot, round(value, 4) AS value FROM (
+  SELECT EVENT_ID, unnest([e, ne + s, ne + ns + m, ne + ns + nm, ne + ns + nm + 1,
+      ne + ns + nm + 2 + e * ns + s, ne + ns + nm + 2 + ne * ns]) AS slot,
+    unnest([1, 1, 1, MAGNITUDE, EVENT_COUNT_PER_CZ, 1, MAGNITUDE * EVENT_COUNT_PER_CZ]) AS value FROM encoded)
+WHERE value <> 0"""
+)
+def assembled_slots(spark, sf_dir):
+    return slots(encoded(spark, sf_dir), "features")
+
+
+# Gini gain of every one-hot slot of one category against its rest. The label is a
+# magnitude above 20: trees merge two leaves of one prediction, as rare harm would give.
+_STUMP_SQL = f"""{_ENCODED_SQL}
+, trained AS (SELECT encoded.* REPLACE (CASE WHEN encoded.MAGNITUDE > 20 THEN 1 ELSE 0 END AS has_harm)
+  FROM encoded JOIN assigned USING (EVENT_ID) WHERE split = 'train'),
+slots AS (
+  SELECT 'EVENT_TYPE' AS feature_group, EVENT_TYPE AS category, EVENT_ID, has_harm FROM trained
+  UNION ALL SELECT 'STATE', STATE, EVENT_ID, has_harm FROM trained
+  UNION ALL SELECT 'MAGNITUDE_TYPE', MAGNITUDE_TYPE, EVENT_ID, has_harm FROM trained),
+sides AS (SELECT feature_group, category, CAST(count(*) AS DOUBLE) AS n1, CAST(sum(has_harm) AS DOUBLE) AS h1,
+  (SELECT CAST(count(*) AS DOUBLE) FROM trained) AS n, (SELECT CAST(sum(has_harm) AS DOUBLE) FROM trained) AS h
+  FROM slots GROUP BY 1, 2),
+gains AS (SELECT *, h1 / n1 AS p1, (h - h1) / (n - n1) AS p0,
+  h1 * (n1 - h1) / n1 + (h - h1) * (n - n1 - h + h1) / (n - n1) AS impurity FROM sides WHERE n1 < n),
+best AS (SELECT * FROM gains ORDER BY impurity LIMIT 1)"""
+
+
+def stump(spark, sf_dir):
+    """One tree of depth 1 on the categories, with all rows and all features."""
+    built = features.build_features(storm(spark, sf_dir))
+    strong = F.when(F.col("MAGNITUDE") > 20, 1).otherwise(0)
+    parts = features.split3(built.withColumn("has_harm", strong))
+    model = forest.train_harm_model(
+        parts[0], trees=1, depth=1, partitions=4, bootstrap=False, columns=features.CATEGORICAL
+    )
+    return model, parts[2]
+
+
+@check(
+    f"""{_STUMP_SQL}
+SELECT EVENT_ID, round(CASE WHEN CASE feature_group WHEN 'EVENT_TYPE' THEN a.EVENT_TYPE WHEN 'STATE' THEN a.STATE
+  ELSE a.MAGNITUDE_TYPE END = category THEN p1 ELSE p0 END, 6) AS probability
+FROM assigned a, best WHERE split = 'test'"""
+)
+def stump_probability(spark, sf_dir):
+    model, test = stump(spark, sf_dir)
+    scored = forest.harm_probability(model)(test)
+    return scored.select("EVENT_ID", F.round("score", 6).alias("probability"))
+
+
+@check(f"{_STUMP_SQL} SELECT feature_group, category, 1e0 AS importance FROM best")
+def stump_importance(spark, sf_dir):
+    model, test = stump(spark, sf_dir)
+    found = forest.feature_importance(model, model.transform(test))
+    return found.where("importance > 0").drop("slot")
+
+
+_DONOR_SQL = f"""{FEATURE_SQL}
+, placed AS (SELECT *, row_number() OVER (ORDER BY md5(CAST(EVENT_ID AS VARCHAR) || ':42'), EVENT_ID) - 1 AS p,
+  count(*) OVER () AS rows_ FROM features),
+paired AS (SELECT a.EVENT_ID, a.has_harm, a.MAGNITUDE, a.EVENT_COUNT_PER_CZ, b.EVENT_ID AS donor_id,
+  b.MAGNITUDE AS donor_magnitude, b.EVENT_COUNT_PER_CZ AS donor_count
+  FROM placed a JOIN placed b ON b.p = (a.p + 1) % a.rows_)"""
+
+
+@check(f"{_DONOR_SQL} SELECT EVENT_ID, donor_id, donor_magnitude, donor_count FROM paired")
+def donor_values(spark, sf_dir):
+    built = features.build_features(storm(spark, sf_dir))
+    paired = forest.with_donor_values(built, ("EVENT_ID", "MAGNITUDE", "EVENT_COUNT_PER_CZ"))
+    return paired.select(
+        "EVENT_ID",
+        F.col("donor.EVENT_ID").alias("donor_id"),
+        F.col("donor.MAGNITUDE").alias("donor_magnitude"),
+        F.col("donor.EVENT_COUNT_PER_CZ").alias("donor_count"),
+    )
+
+
+def _fixed_auc_sql(score):
+    return f"""(SELECT (sum(r) FILTER (WHERE has_harm = 1) - n1 * (n1 + 1) / 2.0) / (n1 * n0) FROM (
+  SELECT has_harm, rank() OVER (ORDER BY {score}) + (count(*) OVER (PARTITION BY {score}) - 1) / 2.0 AS r,
+    CAST(sum(has_harm) OVER () AS DOUBLE) AS n1, CAST(sum(1 - has_harm) OVER () AS DOUBLE) AS n0
+  FROM paired) GROUP BY n1, n0)"""
+
+
+@check(
+    f"""{_DONOR_SQL}
+, areas AS (SELECT {_fixed_auc_sql('MAGNITUDE + EVENT_COUNT_PER_CZ')} AS base,
+  {_fixed_auc_sql('donor_magnitude + EVENT_COUNT_PER_CZ')} AS m, {_fixed_auc_sql('MAGNITUDE + donor_count')} AS c)
+SELECT 'MAGNITUDE' AS feature, round(base, 6) AS base_auc, round(m, 6) AS permuted_auc, round(base - m, 6) AS auc_drop FROM areas
+UNION ALL SELECT 'EVENT_COUNT_PER_CZ', round(base, 6), round(c, 6), round(base - c, 6) FROM areas"""
+)
+def permutation_importance_fixed(spark, sf_dir):
+    """The sum of two features as a fixed score."""
+
+    def score(df):
+        return df.withColumn("score", F.col("MAGNITUDE") + F.col("EVENT_COUNT_PER_CZ"))
+
+    built = features.build_features(storm(spark, sf_dir))
+    found = forest.permutation_importance(score, built, ("MAGNITUDE", "EVENT_COUNT_PER_CZ"))
+    return rounded(found, base_auc=6, permuted_auc=6, auc_drop=6)

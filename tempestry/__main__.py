@@ -20,6 +20,12 @@ def main(argv=None):
     parser.add_argument("--no-model", action="store_true", help="skip the harm model")
     parser.add_argument("--trees", type=int, default=100)
     parser.add_argument("--depth", type=int, default=10)
+    parser.add_argument(
+        "--partitions", type=int, default=200, help="tasks of the forest, about one per 128 MB"
+    )
+    parser.add_argument(
+        "--one-line", action="store_true", help="no record spans lines: large files are split"
+    )
     parser.add_argument("--master", default=None)
     args = parser.parse_args(argv)
 
@@ -27,13 +33,19 @@ def main(argv=None):
     if args.parquet:
         events = spark.read.parquet(args.input)
     else:
-        write_by_year(read_events_csv(spark, args.input), f"{args.output}/events")
+        read = read_events_csv(spark, args.input, multi_line=not args.one_line)
+        write_by_year(read, f"{args.output}/events")
         events = spark.read.parquet(f"{args.output}/events")
         events = events.withColumn("YEAR", F.col("YEAR").cast("int"))
     write_reports(events, f"{args.output}/reports")
     if not args.no_model:
         write_model_report(
-            events, f"{args.output}/model", args.row_id, trees=args.trees, depth=args.depth
+            events,
+            f"{args.output}/model",
+            args.row_id,
+            trees=args.trees,
+            depth=args.depth,
+            partitions=args.partitions,
         )
 
 

@@ -40,22 +40,22 @@ def safe_float(column, default=None) -> Column:
     return number if default is None else F.coalesce(number, F.lit(float(default)))
 
 
-def safe_int(column, default=None, via_float=False) -> Column:
+def safe_int(column, default=None, via_float=False, kind="int") -> Column:
     """Text to int; unparseable becomes ``default`` (NULL when omitted).
 
     ``via_float`` accepts decimal text and truncates toward zero; without it
-    only integer text parses.
+    only integer text parses. ``kind="bigint"`` is for counts, which know no bound.
     """
     text = _column(column)
-    number = (_to_double(text) if via_float else text).try_cast("int")
+    number = (_to_double(text) if via_float else text).try_cast(kind)
     return number if default is None else F.coalesce(number, F.lit(int(default)))
 
 
 def measure_parses(column) -> Column:
-    """True for a measure that is blank or a finite number within int range."""
+    """True for a measure that is blank or a finite number within bigint range."""
     text = _column(column)
     blank = text.isNull() | (F.trim(text) == "")
-    return blank | safe_int(text, via_float=True).isNotNull()
+    return blank | safe_int(text, via_float=True, kind="bigint").isNotNull()
 
 
 def parse_amount(column) -> Column:
@@ -85,14 +85,19 @@ def int_measure(df: DataFrame, name: str) -> Column:
     if isinstance(df.schema[name].dataType, IntegralType):
         number = column
     elif isinstance(df.schema[name].dataType, NumericType):
-        number = column.try_cast("int")
+        number = column.try_cast("bigint")
     else:
-        number = safe_int(column, via_float=True)
+        number = safe_int(column, via_float=True, kind="bigint")
     return F.coalesce(number, F.lit(0)).cast("bigint")
 
 
+def known_number(number: Column) -> Column:
+    """The number, NULL where it is NaN, which Spark orders above all numbers."""
+    return F.when(~F.isnan(number), number)
+
+
 def amount_measure(df: DataFrame, name: str) -> Column:
-    """A damage or count column as double, unparseable as NULL."""
+    """A damage or count column as double, unparseable or NaN as NULL."""
     if isinstance(df.schema[name].dataType, NumericType):
-        return F.col(name).cast("double")
-    return parse_amount(name)
+        return known_number(F.col(name).cast("double"))
+    return known_number(parse_amount(name))

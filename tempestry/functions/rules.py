@@ -9,6 +9,7 @@ from pyspark.sql.types import NumericType
 from tempestry.functions.coerce import (
     amount_measure,
     int_measure,
+    known_number,
     label_or,
     safe_float,
     safe_int,
@@ -35,7 +36,7 @@ def add_up(columns) -> Column:
 def _strict_count(df: DataFrame, name: str) -> Column:
     if isinstance(df.schema[name].dataType, NumericType):
         return int_measure(df, name)
-    return safe_int(name, default=0).cast("bigint")
+    return safe_int(name, default=0, kind="bigint")
 
 
 def severe_by_impact(
@@ -48,14 +49,16 @@ def severe_by_impact(
 ) -> Column:
     """Property or crop damage, deaths or injuries above their thresholds.
 
-    All comparisons are strict. ``parse_suffix=False`` reads damage as a plain
+    All comparisons are strict, infinite damage exceeds every threshold and NaN
+    none. ``parse_suffix=False`` reads damage as a plain
     number only, so suffixed amounts count as 0.
     """
 
     def damage(name):
         if parse_suffix:
             return F.coalesce(amount_measure(df, name), F.lit(0.0))
-        return safe_float(F.col(name).cast("string"), default=0.0)
+        number = known_number(safe_float(F.col(name).cast("string")))
+        return F.coalesce(number, F.lit(0.0))
 
     return (
         (damage(DAMAGE_PROPERTY) > prop)

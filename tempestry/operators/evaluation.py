@@ -4,6 +4,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tempestry.operators.ranking import with_running_total
 from tempestry.schema import HAS_HARM
 
 
@@ -23,6 +24,24 @@ def accuracy(df: DataFrame, label=HAS_HARM, prediction="prediction") -> DataFram
     return df.agg(F.try_divide(right, F.count(F.lit(1))).alias("accuracy"))
 
 
+def grouped_area_under_roc(df: DataFrame, group, label=HAS_HARM, score="score") -> DataFrame:
+    """``(group, auc)``: exact area under the ROC curve of each group, ties as half.
+
+    Rows of equal score are combined first, then running totals by ranges of (group,
+    score) tell how many rows of the other class lie below; NULL without both classes.
+    """
+    counts = df.groupBy(group, F.col(score).alias("_score")).agg(
+        F.count_if(F.col(label) == 1).alias("_hits"), F.count_if(F.col(label) == 0).alias("_misses")
+    )
+    ranked = with_running_total(counts, [group, "_score"], "_misses", "_below")
+    # misses of earlier groups are below too: take off the smallest total of the group
+    pairs = F.sum(F.col("_hits") * (F.col("_below") + F.col("_misses") / 2))
+    hits, misses = F.sum("_hits"), F.sum("_misses")
+    return ranked.groupBy(group).agg(
+        F.try_divide(pairs - hits * F.min("_below"), hits * misses).alias("auc")
+    )
+
+
 def area_under_roc(df: DataFrame, label=HAS_HARM, score="rawPrediction", bins=0) -> float:
     """Area under the ROC curve; exact with ``bins=0``.
 

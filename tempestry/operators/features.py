@@ -28,12 +28,20 @@ FEATURES = CATEGORICAL + NUMERIC
 SPLITS = (("train", 70), ("validation", 15), ("test", 15))
 
 
-def build_features(df: DataFrame, row_id=EVENT_ID, counts: DataFrame | None = None) -> DataFrame:
-    """Row id, five features and the label, over rows with a type and a state."""
-    labelled = with_has_harm(with_total_harm(df))
-    counted = with_location_count(labelled, counts=counts)
-    filled = fill_missing(counted, {MAGNITUDE: 0.0, MAGNITUDE_TYPE: NO_MAGNITUDE_TYPE})
-    return require_not_null(filled).select(row_id, *FEATURES, HAS_HARM)
+def build_features(
+    df: DataFrame, row_id=EVENT_ID, counts: DataFrame | None = None, place_counts=True
+) -> DataFrame:
+    """Row id, five features and the label, over rows with a type and a state.
+
+    ``place_counts=False`` leaves out the event count of the place, which is computed
+    and written before anything else.
+    """
+    rows = with_has_harm(with_total_harm(df))
+    if place_counts:
+        rows = with_location_count(rows, counts=counts)
+    filled = fill_missing(rows, {MAGNITUDE: 0.0, MAGNITUDE_TYPE: NO_MAGNITUDE_TYPE})
+    names = [c for c in FEATURES if place_counts or c != EVENT_COUNT_PER_CZ]
+    return require_not_null(filled).select(row_id, *names, HAS_HARM)
 
 
 def split_name(row_id=EVENT_ID, seed=42, splits=SPLITS) -> Column:
@@ -89,13 +97,16 @@ def category_interaction(left=EVENT_TYPE, right=STATE, out="EVENT_TYPE_X_STATE")
     return Interaction(inputCols=[f"{left}_vec", f"{right}_vec"], outputCol=out)
 
 
-def feature_stages(interactions=False) -> list:
+def feature_stages(interactions=False, columns=None) -> list:
     """Index, encode and assemble; optionally with both interaction features.
 
-    With interactions the input must carry ``with_interaction_product``.
+    ``columns`` names the features, by default all. With interactions the input must
+    carry ``with_interaction_product``.
     """
-    stages = [string_indexer(), one_hot_encoder()]
-    inputs = [f"{c}_vec" for c in CATEGORICAL] + list(NUMERIC)
+    columns = FEATURES if columns is None else columns
+    categories = [c for c in CATEGORICAL if c in columns]
+    stages = [string_indexer(categories), one_hot_encoder(categories)] if categories else []
+    inputs = [f"{c}_vec" for c in categories] + [c for c in NUMERIC if c in columns]
     if interactions:
         stages.append(category_interaction())
         inputs += ["EVENT_TYPE_X_STATE", "MAGNITUDE_X_EVENT_COUNT"]

@@ -48,11 +48,13 @@ def with_density(
 ) -> DataFrame:
     """Add a population density from a caller's table with one row per place.
 
-    A place the table lacks gets the event count, the usual stand-in.
+    A place the table lacks gets the event count, the usual stand-in. A place that
+    stands on several rows of the table has their mean.
     """
+    density = density.groupBy(*keys).agg(F.avg(column).alias(column))
     if fallback not in df.columns:
         df = with_location_count(df, keys, out=fallback)
-    attached = attach_lookup(df, density.select(*keys, column), keys)
+    attached = attach_lookup(df, density, keys)
     return attached.withColumn(
         column, F.coalesce(F.col(column).cast("double"), F.col(fallback).cast("double"))
     )

@@ -1,8 +1,10 @@
 """Ordering with a full tie-break, so results do not depend on partitioning."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tempestry.session import Scratch
+
 
 def _order(by, keys):
     by = [by] if isinstance(by, str | Column) else list(by)
@@ -18,3 +20,58 @@ def sort_desc(df: DataFrame, by, keys) -> DataFrame:
 def top_k(df: DataFrame, by, keys, k=10) -> DataFrame:
     """The ``k`` largest rows: each task keeps ``k``, nothing is fully sorted."""
     return df.orderBy(*_order(by, keys)).limit(k)
+
+
+def with_running_total(df: DataFrame, order, amount=1, out="before") -> DataFrame:
+    """Add the sum of ``amount`` over all rows that come earlier in ``order``.
+
+    Rows are dealt out by ranges of the order and written with the number of their
+    range, so the numbers hold. A total per range gives each range its start: a row
+    per partition is all that any one task sees of the whole. ``order`` names columns
+    that together tell rows apart.
+    """
+    amount = F.col(amount) if isinstance(amount, str) else F.lit(amount)
+    scratch = Scratch(df.sparkSession)
+    ranged = scratch.save(
+        df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranged"
+    )
+    ranges = ranged.groupBy("_range").agg(F.sum(amount).alias("_total"))
+    upto = F.sum("_total").over(Window.orderBy("_range"))
+    ranges = ranges.select("_range", (upto - F.col("_total")).alias("_start"))
+    earlier = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum(amount).over(earlier), F.lit(0))
+    return (
+        ranged.join(ranges, "_range")
+        .withColumn(out, F.col("_start") + inside)
+        .drop("_range", "_start")
+    )
+
+
+def average_ranks(df: DataFrame, column: str, out="rank") -> DataFrame:
+    """``(column, out)``: each distinct value with the average rank of its rows."""
+    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = with_running_total(counts, [column], "_n", "_before")
+    return ranked.select(column, (F.col("_before") + (F.col("_n") + 1) / 2).alias(out))
+
+
+def with_next_row(df: DataFrame, order, columns, out="donor") -> DataFrame:
+    """Add a struct of ``columns`` of the next row in ``order``; the last takes the first's."""
+    scratch = Scratch(df.sparkSession)
+    ranged = scratch.save(
+        df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranged"
+    )
+    values = F.struct(*columns)
+    firsts = ranged.groupBy("_range").agg(F.min_by(values, F.struct(*order)).alias("_first"))
+    by_range = Window.orderBy("_range")  # a row per partition
+    following = F.coalesce(
+        F.lead("_first").over(by_range),
+        F.first("_first").over(by_range.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+    )
+    firsts = firsts.select("_range", following.alias("_following"))
+    inside = F.lead(values).over(Window.partitionBy("_range").orderBy(*order))
+    return (
+        ranged.withColumn("_inside", inside)
+        .join(firsts, "_range")
+        .withColumn(out, F.coalesce("_inside", "_following"))
+        .drop("_range", "_inside", "_following")
+    )

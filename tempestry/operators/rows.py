@@ -4,9 +4,17 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
-
-from tempestry.functions.coerce import bare_suffix, blank_to_null, int_measure, label_or
+from pyspark.sql.types import DoubleType, FloatType, StringType
+
+from tempestry.functions.coerce import (
+    bare_suffix,
+    blank_to_null,
+    int_measure,
+    known_number,
+    label_or,
+    safe_float,
+    safe_int,
+)
 from tempestry.functions.rules import add_up, valid_magnitude
 from tempestry.schema import (
     DEATH_COLUMNS,
@@ -27,14 +35,25 @@ def project(df: DataFrame, *columns) -> DataFrame:
 
 
 def fill_missing(df: DataFrame, defaults: dict) -> DataFrame:
-    """Replace missing values: a text default also replaces empty text."""
-    filled = {
-        name: label_or(name, default)
-        if isinstance(default, str)
-        else F.coalesce(F.col(name), F.lit(default))
-        for name, default in defaults.items()
-    }
-    return df.withColumns(filled)
+    """Replace missing values: a text default also replaces empty text.
+
+    A numeric default reads a text column as numbers, unparseable and NaN as missing.
+    """
+
+    def filled(name, default):
+        kind = df.schema[name].dataType
+        if isinstance(default, str):
+            return label_or(name, default)
+        column = F.col(name)
+        if isinstance(kind, StringType):
+            whole = isinstance(default, int) and not isinstance(default, bool)
+            number = safe_float(column)
+            column = safe_int(column, via_float=True, kind="bigint") if whole else known_number(number)
+        elif isinstance(kind, (DoubleType, FloatType)):
+            column = known_number(column)
+        return F.coalesce(column, F.lit(default))
+
+    return df.withColumns({name: filled(name, default) for name, default in defaults.items()})
 
 
 def with_total_harm(df: DataFrame, out=TOTAL_HARM) -> DataFrame:
@@ -101,5 +120,8 @@ def magnitude_over(df: DataFrame, threshold, magnitude=MAGNITUDE) -> DataFrame:
 
 
 def exclude_years(df: DataFrame, *years, year=YEAR) -> DataFrame:
-    """Drop the given years, such as a current year that is not complete."""
-    return df.where(~F.col(year).isin(*years))
+    """Drop the given years, such as a current year that is not complete.
+
+    Rows without a year stay.
+    """
+    return df.where(~F.coalesce(F.col(year).isin(*years), F.lit(False)))

@@ -1,11 +1,12 @@
 """Magnitude over the years."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from tempestry.functions.coerce import safe_int
 from tempestry.functions.rules import magnitude_band
+from tempestry.operators.ranking import average_ranks
 from tempestry.operators.rows import magnitude_over, with_valid_magnitude
 from tempestry.schema import MAGNITUDE, MAGNITUDE_EDGES, YEAR
 
@@ -55,23 +56,17 @@ def band_counts(df: DataFrame, edges=MAGNITUDE_EDGES) -> DataFrame:
 def spearman(pairs: DataFrame, x: str, y: str) -> DataFrame:
     """Rank correlation of two columns, ties at their average rank.
 
-    Ranking orders all rows of ``pairs`` in one task, so it is for reduced
-    tables only, such as one row per year.
+    Distinct values are ranked by ranges, so no task orders the whole table.
     """
-
-    def average_rank(name):
-        same = Window.partitionBy(name)
-        return F.rank().over(Window.orderBy(name)) + (F.count(F.lit(1)).over(same) - 1) / 2
-
-    ranks = pairs.select(average_rank(x).alias("rank_x"), average_rank(y).alias("rank_y"))
+    pairs = pairs.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    ranks = (
+        pairs.select(x, y)
+        .join(average_ranks(pairs, x, "rank_x"), x)
+        .join(average_ranks(pairs, y, "rank_y"), y)
+    )
     return ranks.agg(F.corr("rank_x", "rank_y").alias("rho"))
 
 
 def spearman_trend(df: DataFrame) -> DataFrame:
-    """Rank correlation of the yearly mean magnitude with the year.
-
-    The year is narrowed to 16 bits, which bounds what is ranked at 65,536 rows
-    however many events and whatever year values come in.
-    """
-    yearly = avg_magnitude_by_year(df).withColumn(YEAR, F.col(YEAR).try_cast("smallint"))
-    return spearman(yearly.where(F.col(YEAR).isNotNull()), YEAR, "avg_magnitude")
+    """Rank correlation of the yearly mean magnitude with the year."""
+    return spearman(avg_magnitude_by_year(df), YEAR, "avg_magnitude")

@@ -44,10 +44,10 @@ EVENT_SCHEMA = StructType(
         StructField(CZ_NAME, StringType()),
         StructField(YEAR, IntegerType()),
         StructField(EVENT_TYPE, StringType()),
-        StructField(INJURIES_DIRECT, IntegerType()),
-        StructField(INJURIES_INDIRECT, IntegerType()),
-        StructField(DEATHS_DIRECT, IntegerType()),
-        StructField(DEATHS_INDIRECT, IntegerType()),
+        StructField(INJURIES_DIRECT, LongType()),
+        StructField(INJURIES_INDIRECT, LongType()),
+        StructField(DEATHS_DIRECT, LongType()),
+        StructField(DEATHS_INDIRECT, LongType()),
         StructField(DAMAGE_PROPERTY, StringType()),
         StructField(DAMAGE_CROPS, StringType()),
         StructField(MAGNITUDE, DoubleType()),

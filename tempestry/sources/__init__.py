@@ -14,6 +14,7 @@ from tempestry.sources.inspection import (
 )
 from tempestry.sources.lines import (
     field_count,
+    mark_valid,
     parse_csv_lines,
     split_valid_rejects,
     strip_header,
@@ -27,6 +28,7 @@ __all__ = [
     "dataset_overview",
     "extract_links",
     "field_count",
+    "mark_valid",
     "normalize_layout",
     "null_profile",
     "parse_csv_lines",

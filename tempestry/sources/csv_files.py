@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType, NumericType, StructType
+from pyspark.sql.types import IntegralType, NumericType, StringType, StructField, StructType
 
 from tempestry.functions.coerce import safe_float
 from tempestry.schema import EVENT_SCHEMA
@@ -20,11 +20,15 @@ from tempestry.schema import EVENT_SCHEMA
 _UNNAMED = re.compile(r"_c\d+|Unnamed: \d+")
 
 
-def _read(spark, path, multi_line=True, infer_types=False):
-    reader = spark.read.option("header", True).option("inferSchema", infer_types)
+def _reader(spark, multi_line=True):
+    reader = spark.read.option("header", True)
     if multi_line:
         reader = reader.option("multiLine", True).option("quote", '"').option("escape", '"')
-    return reader.csv(path)
+    return reader
+
+
+def _read(spark, path, multi_line=True, infer_types=False):
+    return _reader(spark, multi_line).option("inferSchema", infer_types).csv(path)
 
 
 def normalize_layout(df: DataFrame) -> DataFrame:
@@ -57,38 +61,71 @@ def conform(df: DataFrame, schema: StructType = EVENT_SCHEMA) -> DataFrame:
     return df.select(*selected)
 
 
+def _header_lines(spark: SparkSession, files) -> list:
+    """The first line of each file, read on the driver as other formats read footers."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    lines = []
+    for file in files:
+        path = jvm.org.apache.hadoop.fs.Path(file)
+        stream, codec = path.getFileSystem(conf).open(path), codecs.getCodec(path)
+        if codec is not None:
+            stream = codec.createInputStream(stream)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        try:
+            lines.append(reader.readLine())
+        finally:
+            reader.close()
+    return lines
+
+
+def _files_by_header(spark: SparkSession, paths) -> list:
+    """The files of files, folders and globs, listed once, grouped by their first line.
+
+    Empty files are left out. Only names are listed: no content is read by this job.
+    """
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    files = sorted(r.path for r in listing.load(list(paths)).select("path").collect())
+    groups = {}
+    for file, header in zip(files, _header_lines(spark, files)):
+        if header is not None:
+            groups.setdefault(header, []).append(file)
+    return list(groups.values())
+
+
 def read_events_csv(
     spark: SparkSession,
     path,
     schema: StructType | None = EVENT_SCHEMA,
     multi_line=True,
     infer_types=False,
+    reject_column=None,
 ) -> DataFrame:
     """Read CSV with a header into normalized, typed columns.
 
-    Only the header is looked at before the job runs. ``infer_types`` adds the
-    extra pass that guesses types; ``schema=None`` keeps the columns as read.
-    ``multi_line=False`` reads plain one-line records and splits large files.
+    ``path`` is a file, folder or glob, or a list of them. Each file's columns are those
+    of its own header; files of the same header share one scan, and columns that a file
+    lacks are NULL. ``infer_types`` adds the extra pass that guesses types;
+    ``schema=None`` keeps the columns as read. ``multi_line=False`` reads plain one-line
+    records and splits large files. ``reject_column`` names a column for the raw text of
+    records with too few or too many fields, NULL for all others; without it their missing
+    fields are NULL and surplus ones are lost.
     """
-    df = normalize_layout(_read(spark, path, multi_line, infer_types))
-    return df if schema is None else conform(df, schema)
+    paths = [path] if isinstance(path, str) else list(path)
+    frames = []
+    for files in _files_by_header(spark, paths) or [paths]:
+        df = _read(spark, files, multi_line, infer_types)
+        if reject_column:
+            fields = [*df.schema.fields, StructField(reject_column, StringType())]
+            df = _reader(spark, multi_line).option("columnNameOfCorruptRecord", reject_column)
+            df = df.schema(StructType(fields)).csv(files)
+        df = normalize_layout(df)
+        frames.append(df if schema is None else conform(df, schema))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def read_many(
     spark: SparkSession, paths, schema: StructType | None = EVENT_SCHEMA, multi_line=True
 ) -> DataFrame:
-    """Stack files (plain or gzip) whose headers may differ.
-
-    Each path is a file, folder or glob whose files share one header; the header
-    of the first file is looked at. Paths with the same header share one scan, so
-    the plan has one branch per distinct header. Absent columns are NULL.
-    """
-    by_header = {}
-    for path in paths:
-        header = tuple(_read(spark, path, multi_line).columns)
-        by_header.setdefault(header, []).append(path)
-    frames = [
-        read_events_csv(spark, same_header, schema, multi_line)
-        for same_header in by_header.values()
-    ]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    """Stack files (plain or gzip) whose headers may differ."""
+    return read_events_csv(spark, list(paths), schema, multi_line)

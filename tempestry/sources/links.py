@@ -1,13 +1,39 @@
 """Links in a table of HTML pages."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_NOT_MARKUP = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+_NOT_MARKUP = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 _ANCHOR_HREF = r"""(?is)<a\s+(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
-# The predefined character references, ampersand last.
-_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+# The predefined character references.
+_ENTITIES = (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("amp", "&"))
+# Text up to a reference and the reference, if one follows.
+_PIECE = r"(?s)&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|lt|gt|quot|apos|amp);|(?:(?!&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|lt|gt|quot|apos|amp);).)+"
+
+
+def decode_references(text) -> Column:
+    """Text with predefined and numeric character references decoded, each once.
+
+    A number that is no character stays as it is written.
+    """
+
+    def decoded(piece):
+        digits = F.regexp_extract(piece, r"^&#[xX]?([0-9a-fA-F]+);$", 1)
+        base = F.when(F.lower(F.substring(piece, 3, 1)) == "x", 16).otherwise(10)
+        code = F.when(base == 16, F.conv(digits, 16, 10)).otherwise(digits).try_cast("int")
+        # four bytes at most: UTF-32 text of the code point
+        character = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        out = F.when(F.startswith(piece, F.lit("&#")) & F.endswith(piece, F.lit(";")) & valid, character)
+        for name, text_ in _ENTITIES:
+            out = out.when(piece == f"&{name};", F.lit(text_))
+        return out.otherwise(piece)
+
+    pieces = F.regexp_extract_all(text, F.lit(_PIECE), F.lit(0))
+    return F.when(~F.contains(text, F.lit("&")), text).otherwise(
+        F.array_join(F.transform(pieces, decoded), "")
+    )
 
 
 def extract_links(
@@ -21,11 +47,9 @@ def extract_links(
     markup = F.regexp_replace(F.col(html), _NOT_MARKUP, "")
     targets = F.regexp_extract_all(markup, F.lit(_ANCHOR_HREF), F.lit(1))
     target = F.regexp_replace("raw_target", r"""^["']|["']$""", "")
-    for entity, character in _ENTITIES:
-        target = F.replace(target, F.lit(entity), F.lit(character))
     return (
         pages.select(*keep, F.explode(targets).alias("raw_target"))
-        .select(*keep, target.alias("target"))
+        .select(*keep, decode_references(target).alias("target"))
         .where(F.contains("target", F.lit(contains)))
         .select(*keep, F.concat(F.lit(base), F.col("target")).alias("link"))
     )

@@ -10,12 +10,14 @@ def write_csv(df: DataFrame, path: str, single=False, limit=None, order_by=()) -
     """Write CSV with a header, replacing what is there.
 
     ``single`` gathers the rows into one file and so needs a ``limit``: a whole
-    table is never pulled through one task.
+    table is never pulled through one task. A ``limit`` needs ``order_by``.
     """
     if single and limit is None:
         raise ValueError("single=True needs a limit")
     if limit is not None:
-        df = (df.orderBy(*order_by) if order_by else df).limit(limit)
+        if not order_by:
+            raise ValueError("limit needs order_by: which rows stay must not be left to chance")
+        df = df.orderBy(*order_by).limit(limit)
     if single:
         df = df.coalesce(1)
     (
