@@ -3,22 +3,25 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from tempestry.llm import mixing, packing, quality, secret_scan, simhash
-from tempestry.llm.common import read_table
+from tempestry.llm.common import read_table, ship
 from tempestry.session import Scratch
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that weak supervision calls good."""
+    ship(spark)
     return quality.good_documents(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component."""
+    ship(spark)
     return simhash.one_of_each(docs)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced by a mark."""
+    ship(spark)
     return secret_scan.without_secrets(docs)
 
 
@@ -29,6 +32,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 2048 ids with their sequence and offset."""
+    ship(spark)
     return packing.pack_documents(docs)
 
 

@@ -1,5 +1,7 @@
 """Registered queries of the corpus operators, and the SQL of those that SQL can state."""
 
+import functools
+
 from tempestry.llm import (
     language_model,
     mixing,
@@ -12,49 +14,58 @@ from tempestry.llm import (
     urls,
     wrapper,
 )
-from tempestry.llm.common import read_table
+from tempestry.llm.common import read_table, ship
 from tempestry.session import Scratch
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 
+QUERIES = {}
+
+
+def register(query):
+    """Register a query, which first sees to it that executors have the package."""
+
+    @functools.wraps(query)
+    def run(spark, sf_dir):
+        ship(spark)
+        return query(spark, sf_dir)
+
+    QUERIES[query.__name__] = run
+    return query
+
+
+@register
 def op1_simhash_components(spark, sf_dir):
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+@register
 def op4_weak_quality(spark, sf_dir):
     rated = quality.rate_documents(read_table(spark, sf_dir, "documents"), Scratch(spark))
     return rated.drop("probability")
 
 
+@register
 def op5_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+@register
 def op6_url_digests(spark, sf_dir):
     return urls.judge_urls(read_table(spark, sf_dir, "pages"))
 
 
+@register
 def op7_assigned_secrets(spark, sf_dir):
     return secret_scan.find_secrets(read_table(spark, sf_dir, "documents"))
 
 
+@register
 def op10_source_mix(spark, sf_dir):
     return mixing.mix_sources(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {
-    f.__name__: f
-    for f in (
-        op1_simhash_components,
-        op4_weak_quality,
-        op5_best_fit_packing,
-        op6_url_digests,
-        op7_assigned_secrets,
-        op10_source_mix,
-    )
-}
-
 OP6_SQL = r"""
 WITH rules(verdict, rule) AS (VALUES ('allow', 'com/'), ('block', 'example.com/en/'),
   ('allow', 'www.example.com/en/'), ('block', 'net/es/'), ('block', 'net/fr/')),
@@ -122,32 +133,28 @@ FROM sizes s JOIN taken t ON s.source IS NOT DISTINCT FROM t.source
 SQL = {"op6_url_digests": OP6_SQL, "op10_source_mix": OP10_SQL}
 
 
+@register
 def pipeline(spark, sf_dir):
     from corpus_pipeline import run
 
     return run(spark, sf_dir)
 
 
-QUERIES["pipeline"] = pipeline
-
-
+@register
 def op2_suffix_repeats(spark, sf_dir):
     return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
 
 
+@register
 def op8_kneser_ney(spark, sf_dir):
     return language_model.score_documents(read_table(spark, sf_dir, "documents"))
 
 
+@register
 def op9_wrapper_text(spark, sf_dir):
     return wrapper.extract_text(read_table(spark, sf_dir, "pages"))
 
 
-QUERIES |= {f.__name__: f for f in (op2_suffix_repeats, op8_kneser_ney, op9_wrapper_text)}
-
-
+@register
 def op3_nn_descent(spark, sf_dir):
     return neighbours.nearest(read_table(spark, sf_dir, "embeddings"))
-
-
-QUERIES[op3_nn_descent.__name__] = op3_nn_descent

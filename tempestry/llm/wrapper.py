@@ -328,7 +328,7 @@ def wrappers(pages: DataFrame, scratch: Scratch, same=0.8, least=3) -> DataFrame
     they show is added up before it is shuffled.
     """
     digest = F.xxhash64("html")
-    first = pages.groupBy("host").agg(F.min(digest).alias("first"))
+    first = scratch.save(pages.groupBy("host").agg(F.min(digest).alias("first")), "first")
     seeds = (
         pages.select("host", "html", digest.alias("first"))
         .join(first, ["host", "first"], "left_semi")
