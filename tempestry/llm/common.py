@@ -11,11 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Make this package importable on the executors, once for a session.
+    """Make a session ready: smaller Arrow batches, and the package on the executors.
 
-    A job that was submitted with the package in ``--py-files`` does not need it.
+    Documents are long rows, and workers hold a batch in more than one form; a setting
+    other than Spark's default stays. A job that was submitted with the package in
+    ``--py-files`` does not need this.
     """
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, "1000")
     context = spark.sparkContext
     if getattr(context, "_tempestry_shipped", False):
         return

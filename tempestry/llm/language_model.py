@@ -396,7 +396,10 @@ def score_documents(docs: DataFrame) -> DataFrame:
     plain = docs.select("doc_id", held.alias("held_out"), bytes_of("text").alias("text"))
     model = train(plain.where(~F.col("held_out")), scratch)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return plain.mapInArrow(
+    scores = plain.mapInArrow(
         _score(model),
         f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
+    scores = scratch.save(scores, "scores")
+    scratch.drop("model")
+    return scores

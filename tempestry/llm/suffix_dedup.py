@@ -439,7 +439,10 @@ def repeated_ranges(docs: DataFrame, scratch: Scratch, length=LENGTH, gram=GRAM,
         .sortWithinPartitions("gram")
         .mapInArrow(_sort_fragments(length), "doc_id long, body long, a long, b long")
     )
-    return scratch.save(copies.union(scratch.save(found, "sorted")), "ranges")
+    found = scratch.save(found, "sorted")
+    ranges = scratch.save(copies.union(found), "ranges")
+    scratch.drop("hits", "classes", "met", "sorted")
+    return ranges
 
 
 def _with(docs, other, how):
