@@ -54,7 +54,7 @@ def test_several_cells_blocks_and_lengths(spark, monkeypatch):
     points = r.normal(size=(2500, 16)) * r.uniform(0.5, 2, size=(2500, 1))
     rows = [(i, p.tolist()) for i, p in enumerate(points.astype(np.float32))]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    got = neighbours.nearest(table, cell=700, rounds=4).collect()
+    got = neighbours.nearest(table, cell=700, rounds=3).collect()
     check_order(got, rows)
     assert recall(got, exact(rows)) >= 0.9
 
@@ -67,7 +67,7 @@ def test_equal_vectors_and_rows_that_take_no_part(spark):
            (300, []), (320, [1.0]), (None, [1.0, 1.0, 1.0])]
     full = [(i, v, 1, 1.0, 2) for i, v in rows + bad + rows[:5]]
     table = spark.createDataFrame(full, "vec_id long, embedding array<float>, label int, score double, node long")
-    got = neighbours.nearest(table).collect()
+    got = neighbours.nearest(table, rounds=2).collect()
     check_order(got, rows)
     want = exact(rows)
     assert {r.query_id for r in got} == set(want)
@@ -78,7 +78,7 @@ def test_equal_vectors_and_rows_that_take_no_part(spark):
 
 def test_few_and_no_rows(spark):
     schema = "vec_id long, embedding array<float>, label int"
-    assert neighbours.nearest(spark.createDataFrame([], schema)).count() == 0
-    assert neighbours.nearest(spark.createDataFrame([(0, [1.0], 1)], schema)).count() == 0
-    got = neighbours.nearest(spark.createDataFrame([(0, [1.0], 1), (1, [2.0], 1), (2, [-1.0], 1)], schema)).collect()
+    assert neighbours.nearest(spark.createDataFrame([], schema), rounds=1).count() == 0
+    assert neighbours.nearest(spark.createDataFrame([(0, [1.0], 1)], schema), rounds=1).count() == 0
+    got = neighbours.nearest(spark.createDataFrame([(0, [1.0], 1), (1, [2.0], 1), (2, [-1.0], 1)], schema), rounds=1).collect()
     assert [(r.query_id, r["rank"], r.vec_id, r.score) for r in got] == [(0, 1, 1, 2.0), (0, 2, 2, -1.0)]
