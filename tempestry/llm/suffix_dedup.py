@@ -376,7 +376,7 @@ def merged(ranges):
 def repeated_ranges(docs: DataFrame, scratch: Scratch, length=LENGTH, gram=GRAM, crowd=2000) -> DataFrame:
     """Byte ranges ``(doc_id, body, a, b)`` that are to be removed; they may overlap.
 
-    ``docs`` has doc_id, body (a hash of the text) and text (bytes). Where more than
+    ``docs`` has doc_id, body (from ``_plain``) and text (bytes). Where more than
     ``crowd`` different fragments agree beside a gram, they are dealt out anew by the
     hash of each whole window, so no task sorts an unbounded group.
     """
@@ -471,9 +471,24 @@ def _keep(batches):
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *out.columns], names=["doc_id", *_KEPT.names])
 
 
-def _plain(docs):
+def _plain(docs, scratch):
+    """doc_id, body and text as bytes; body tells documents of one id apart and is 0 elsewhere.
+
+    Ids that stand for several texts are few as a rule, and their table then is small
+    enough to be broadcast; otherwise the texts are shuffled once to meet it.
+    """
     body = F.xxhash64(F.coalesce("text", F.lit("")))
-    return docs.select(F.col("doc_id").cast("long"), body.alias("body"), bytes_of("text").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long"), body.alias("__body"), bytes_of("text").alias("text"))
+    repeated = (
+        rows.groupBy("doc_id")
+        .agg(F.min("__body").alias("a"), F.max("__body").alias("b"))
+        .where("a <> b")
+        .select(F.col("doc_id").alias("__id"), F.lit(True).alias("__repeated"))
+    )
+    repeated = scratch.save(repeated, "repeated")
+    body = F.when(F.col("__repeated"), F.col("__body")).otherwise(0)
+    met = rows.join(repeated, rows["doc_id"].eqNullSafe(F.col("__id")), "left")
+    return met.select("doc_id", body.alias("body"), "text")
 
 
 def remove_repeats(docs: DataFrame, length=LENGTH) -> DataFrame:
@@ -486,7 +501,7 @@ def remove_repeats(docs: DataFrame, length=LENGTH) -> DataFrame:
     result. Other columns are ignored. No rows give no rows.
     """
     scratch = Scratch(docs.sparkSession)
-    plain = _plain(docs)
+    plain = _plain(docs, scratch)
     ranges = repeated_ranges(plain, scratch, length)
     lists = ranges.groupBy("doc_id", "body").agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
     return _with(plain, lists, "left").mapInArrow(

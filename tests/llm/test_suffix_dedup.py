@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tempestry.llm import suffix_dedup
+from tempestry.session import Scratch
 from tests.llm.cases import SF, awkward, documents, empty, prose
 
 
@@ -27,7 +28,7 @@ def slow(rows, length):
 
 
 def check(docs, length=100):
-    plain = suffix_dedup._plain(docs).collect()
+    plain = suffix_dedup._plain(docs, Scratch(docs.sparkSession)).collect()
     got = [tuple(r) for r in suffix_dedup.remove_repeats(docs, length).collect()]
     assert sorted(got, key=str) == slow([(r.doc_id, r.body, bytes(r.text)) for r in plain], length)
 
@@ -53,9 +54,7 @@ def test_crowded_grams_are_dealt_by_window(spark):
     passage = prose(7, 12)[:60]
     rows = [(i, prose(i, 10) + passage + prose(1000 + i % 7, 10)) for i in range(60)]
     docs = documents(spark, rows)
-    plain = suffix_dedup._plain(docs)
-    from tempestry.session import Scratch
-
+    plain = suffix_dedup._plain(docs, Scratch(spark))
     few = suffix_dedup.repeated_ranges(plain, Scratch(spark), crowd=3)
     many = suffix_dedup.repeated_ranges(plain, Scratch(spark), crowd=2000)
 
