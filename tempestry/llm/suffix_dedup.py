@@ -76,6 +76,8 @@ def _mixed(h):
 
 
 _PLACE_BITS = 24  # of a gram within its block
+#: Bytes of texts whose grams are hashed at once; longer texts are cut.
+CUT = 1 << 20
 
 
 def fragments(texts, grams):
@@ -136,30 +138,41 @@ _FRAGMENT = pa.schema(
 )
 
 
-def _cut(length, gram):
+def pieces(texts, block, length):
+    """``(text number, offset, bytes)`` of at most ``block`` bytes; each window is in one piece."""
+    for i, text in enumerate(texts):
+        for at in range(0, max(len(text) - length + 1, 1), block - length + 1):
+            yield i, at, text[at : at + block]
+
+
+def _cut(length, gram, block=CUT):
+    assert length <= block <= 1 << _PLACE_BITS
+
+    def rows(batch, grams, held):
+        owners, offsets, parts = zip(*held)
+        *columns, part, start, windows = fragments(parts, grams)
+        part = np.asarray(part, dtype=np.int64)
+        start = start + np.array(offsets, dtype=np.int64)[part]
+        names = _FRAGMENT.names
+        out = emit(_FRAGMENT, **dict(zip(names, [*columns, start, windows])))
+        own = pa.array(np.array(owners, dtype=np.int64)[part])
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id").take(own), batch.column("body").take(own), *out.columns],
+            names=["doc_id", "body", *names],
+        )
+
     def cut(batches):
-        most = 1 << 20
-        grams = Grams(most, gram, length)
+        grams = Grams(block, gram, length)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            at = 0
-            while at < len(texts):
-                size, to = 0, at
-                while to < len(texts) and (to == at or size + len(texts[to]) <= 1 << 20):
-                    size += len(texts[to])
-                    to += 1
-                if size > most:
-                    most = size
-                    grams = Grams(most, gram, length)
-                *columns, text, start, windows = fragments(texts[at:to], grams)
-                names = _FRAGMENT.names
-                out = emit(_FRAGMENT, **dict(zip(names, [*columns, start, windows])))
-                own = pa.array(np.asarray(text, dtype=np.int64) + at)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").take(own), batch.column("body").take(own), *out.columns],
-                    names=["doc_id", "body", *names],
-                )
-                at = to
+            held, size = [], 0
+            for piece in pieces(batch.column("text").to_pylist(), block, length):
+                if held and size + len(piece[2]) > block:
+                    yield rows(batch, grams, held)
+                    held, size = [], 0
+                held.append(piece)
+                size += len(piece[2])
+            if held:
+                yield rows(batch, grams, held)
 
     return cut
 
@@ -373,7 +386,7 @@ def merged(ranges):
     return out
 
 
-def repeated_ranges(docs: DataFrame, scratch: Scratch, length=LENGTH, gram=GRAM, crowd=2000) -> DataFrame:
+def repeated_ranges(docs: DataFrame, scratch: Scratch, length=LENGTH, gram=GRAM, crowd=2000, block=CUT) -> DataFrame:
     """Byte ranges ``(doc_id, body, a, b)`` that are to be removed; they may overlap.
 
     ``docs`` has doc_id, body (from ``_plain``) and text (bytes). Where more than
@@ -381,7 +394,7 @@ def repeated_ranges(docs: DataFrame, scratch: Scratch, length=LENGTH, gram=GRAM,
     hash of each whole window, so no task sorts an unbounded group.
     """
     kinds = "doc_id long, body long, gram long, digest long, left int, right int, start int, windows short"
-    all_of = scratch.save(docs.mapInArrow(_cut(length, gram), kinds), "fragments")
+    all_of = scratch.save(docs.mapInArrow(_cut(length, gram, block), kinds), "fragments")
     shared = scratch.save(
         all_of.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "shared"
     )

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -65,6 +66,36 @@ def test_crowded_grams_are_dealt_by_window(spark):
     check(docs)
 
 
+def test_texts_longer_than_a_block_are_cut(spark):
+    passage = prose(11, 60)
+    rows = [(i, prose(300 + i, 40 * i) + passage + prose(400 + i, 70) + passage[20:]) for i in range(9)]
+    rows += [(20, "q" * 1500), (21, "uvw" * 300), (22, prose(308, 320)[50:1400])]
+    plain = suffix_dedup._plain(documents(spark, rows), Scratch(spark))
+
+    def covered(block):
+        found = suffix_dedup.repeated_ranges(plain, Scratch(spark), block=block).collect()
+        return {(r.doc_id, i) for r in found for i in range(r.a, r.b)}
+
+    want, seen = set(), set()
+    for d, text in rows:
+        for i in range(len(text) - 99):
+            if text[i : i + 100] in seen:
+                want.update((d, x) for x in range(i, i + 100))
+            seen.add(text[i : i + 100])
+    assert covered(128) == covered(333) == want
+
+
+def test_places_past_the_bits_of_a_place(monkeypatch):
+    """A passage past 2 ^ (bits of a place) bytes has the grams it has elsewhere."""
+    monkeypatch.setattr(suffix_dedup, "_PLACE_BITS", 20)
+    passage = prose(12, 200).encode()
+    texts = [passage, bytes(i * i * 31 % 251 for i in range((1 << 20) + 500)) + passage]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [0, 1], "body": [0, 0], "text": texts})
+    found = pa.Table.from_batches(suffix_dedup._cut(100, 32)([batch])).to_pylist()
+    grams = [{r["gram"] for r in found if r["doc_id"] == d} for d in (0, 1)]
+    assert grams[0] and grams[0] <= grams[1]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.one_of(st.binary(max_size=60), st.lists(st.sampled_from(b"ab\0"), max_size=80).map(bytes)), st.integers(1, 9), st.randoms())
 def test_two_stage_order_is_the_order_of_the_suffixes(text, depth, r):
