@@ -9,8 +9,10 @@ class calls navigation, advert, comment and the like are never prose.
 
 import html as entities
 import re
+from collections import Counter
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
@@ -57,24 +59,26 @@ APART_WORDS = re.compile(
 )
 
 
-#: Elements nested deeper count as part of the one at this depth.
+#: Elements nested deeper count as part of the one at this depth, unless they are apart.
 DEEPEST = 256
-#: Pairs of children beyond which two lists are matched in order, first fit.
-MOST_PAIRS = 40_000
 
 
 def parse(page):
     """``(labels, parents, blocks)``: elements in page order and texts (element, text)."""
     labels, parents, blocks = ["#page"], [-1], []
-    tags, open_, waiting, at, beyond = ["#page"], [0], [], 0, 0
+    open_, opened, waiting, at = [("#page", 0)], Counter(), [], 0  # open_: tags and the nodes that take their text
 
     def flush():
         if waiting:
             text = " ".join(entities.unescape("".join(waiting)).split())
             if text:
-                blocks.append((open_[-1], text))
+                blocks.append((open_[-1][1], text))
             waiting.clear()
 
+    def close(i):
+        opened.subtract(tag for tag, _ in open_[i:])
+        del open_[i:]
+
     for m in _TOKEN.finditer(page):
         if m.start() > at:
             waiting.append(page[at : m.start()])
@@ -88,35 +92,30 @@ def parse(page):
         elif tag in BLOCKS:
             flush()
             if m.group(2):
-                if beyond:
-                    beyond -= 1
-                    continue
-                for i in range(len(open_) - 1, 0, -1):
-                    if tags[open_[i]] == tag:
-                        del open_[i:]
-                        break
+                if opened[tag] > 0:
+                    close(next(i for i in range(len(open_) - 1, 0, -1) if open_[i][0] == tag))
                 continue
             closes = CLOSES.get(tag, ("p",))
             for i in range(len(open_) - 1, 0, -1):
-                name = tags[open_[i]]
+                name = open_[i][0]
                 if name in closes:
-                    del open_[i:]
+                    close(i)
                     if name == tag or tag not in CLOSES:
                         break
                 elif name in HOLDS:
                     break
-            if len(open_) >= DEEPEST:
-                beyond += 1
-                continue
             names, said = [], m.group(4)
             if said:
                 names = sorted({w for _, v in _ATTRIBUTE.findall(said) for w in v.strip("\"'").lower().split()})
                 if _HIDDEN.search(said):
                     names.append("#hidden")
-            tags.append(tag)
-            labels.append(".".join([tag, *names]))
-            parents.append(open_[-1])
-            open_.append(len(labels) - 1)
+            label, node = ".".join([tag, *names]), open_[-1][1]
+            if len(open_) < DEEPEST or (apart(label) and not apart(labels[node])):
+                labels.append(label)
+                parents.append(node)
+                node = len(labels) - 1
+            open_.append((tag, node))
+            opened[tag] += 1
     waiting.append(page[at:])
     flush()
     return labels, parents, blocks
@@ -151,72 +150,113 @@ def _children(parents):
     return out
 
 
+def _classes(labels, below, known):
+    """One number per node; nodes of equal labels and children have the same."""
+    out = [0] * len(labels)
+    for i in range(len(labels) - 1, -1, -1):
+        out[i] = known.setdefault((labels[i], tuple(out[k] for k in below[i])), len(known))
+    return out
+
+
+def _rows(gains, columns, froms, first):
+    """Rows of the table of best matches after ``first``, one for each row of ``froms``.
+
+    A row is the greater of skipping and matching at each place, and then of all to its left.
+    """
+    out = [first]
+    for i in froms:
+        row = first.copy()
+        row[1:] = np.maximum(out[-1][1:], out[-1][:-1] + gains[i][columns])
+        out.append(np.maximum.accumulate(row))
+    return out
+
+
+def _sequence(gains, rows, columns, pairs):
+    """Size of the largest match in order of two lists, and its places where ``pairs`` is set.
+
+    ``gains[rows[i]][columns[k]]`` is what i and k bring. Every so many rows of the table
+    are kept and the others made again on the way back, so memory stays small.
+    """
+    step = max(int(len(rows) ** 0.5), 16)
+    kept, last = [], np.zeros(len(columns) + 1, dtype=np.int64)
+    for at in range(0, len(rows), step):
+        kept.append(last)
+        last = _rows(gains, columns, rows[at : at + step], last)[-1]
+    found, k = [], len(columns)
+    for at in range((len(rows) - 1) // step * step, -1, -step) if pairs else ():
+        part = _rows(gains, columns, rows[at : at + step], kept.pop())
+        i = len(part) - 1
+        while i and k:
+            both = gains[rows[at + i - 1]][columns[k - 1]]
+            if both and part[i][k] == part[i - 1][k - 1] + both:
+                found.append((at + i - 1, k - 1))
+                i, k = i - 1, k - 1
+            elif part[i][k] == part[i - 1][k]:
+                i -= 1
+            else:
+                k -= 1
+    return int(last[-1]), found
+
+
 @lru_cache(20_000)
 def align(template, page):
     """Simple tree matching: the template's node for each node of the page, or -1.
 
     Both are ``(labels, parents)`` tuples. Nodes match with their parents only and in
-    order; the match with the most nodes is taken. Pages of one shape are matched once.
+    order; the match with the most nodes is taken, at every size of the lists. Equal
+    subtrees are one class, so each pair of classes is matched once. Pages of one shape
+    are matched once.
     """
     (tl, tp), (pl, pp) = template, page
-    below_t, below_p = _children(tp), _children(pp)
-    size, choice = {}, {}
-
-    def _leaves(a, b):
-        return tl[a] == pl[b] and not below_t[a] and not below_p[b] and choice.setdefault((a, b), []) == []
+    below_t, below_p, known = _children(tp), _children(pp), {}
+    class_t, class_p = _classes(tl, below_t, known), _classes(pl, below_p, known)
+    size = {}
+
+    def lists(a, b, pairs):
+        """Size and pairs of the largest match of the children of a and b."""
+        left, right, total, found = below_t[a], below_p[b], 0, []
+        # equal subtrees at either end match each other in a largest match
+        i, n = 0, min(len(left), len(right))
+        while i < n and class_t[left[i]] == class_p[right[i]]:
+            i += 1
+        k = 0
+        while k < n - i and class_t[left[-1 - k]] == class_p[right[-1 - k]]:
+            k += 1
+        ends = [*zip(left[:i], right[:i]), *zip(left[len(left) - k :], right[len(right) - k :])]
+        total, left, right = sum(match(x, y) for x, y in ends), left[i : len(left) - k], right[i : len(right) - k]
+        if left and right:
+            ones, others = {}, {}
+            rows = [ones.setdefault(class_t[x], len(ones)) for x in left]
+            columns = np.array([others.setdefault(class_p[y], len(others)) for y in right])
+            some = {class_t[x]: x for x in left}
+            named = {}
+            for y in {class_p[y]: y for y in right}.values():
+                named.setdefault(pl[y], []).append(y)
+            gains = []
+            for c in ones:
+                gain = np.zeros(len(others), dtype=np.int64)
+                for y in named.get(tl[some[c]], ()):
+                    gain[others[class_p[y]]] = match(some[c], y)
+                gains.append(gain)
+            n, places = _sequence(gains, rows, columns, pairs)
+            total += n
+            found = [(left[x], right[y]) for x, y in places]
+        return total, ends + found
 
     def match(a, b):
-        if (a, b) in size:
-            return size[a, b]
         if tl[a] != pl[b]:
-            size[a, b] = 0
             return 0
-        left, right, pairs = below_t[a], below_p[b], []
-        # equal leaves at either end match each other in a largest match
-        while left and right and _leaves(left[0], right[0]):
-            pairs.append((left[0], right[0]))
-            left, right = left[1:], right[1:]
-        while left and right and _leaves(left[-1], right[-1]):
-            pairs.append((left[-1], right[-1]))
-            left, right = left[:-1], right[:-1]
-        total = len(pairs)
-        if len(left) * len(right) > MOST_PAIRS:
-            k = 0
-            for x in left:
-                fit = next((i for i in range(k, len(right)) if tl[x] == pl[right[i]]), None)
-                if fit is not None:
-                    total += match(x, right[fit])
-                    pairs.append((x, right[fit]))
-                    k = fit + 1
-        else:
-            best = [[0] * (len(right) + 1)]
-            for x in left:
-                up, row = best[-1], [0]
-                for k, y in enumerate(right):
-                    row.append(max(up[k + 1], row[k], up[k] + match(x, y)))
-                best.append(row)
-            i, k = len(left), len(right)
-            total += best[i][k]
-            while i and k:
-                both = match(left[i - 1], right[k - 1])
-                if both and best[i][k] == best[i - 1][k - 1] + both:
-                    pairs.append((left[i - 1], right[k - 1]))
-                    i, k = i - 1, k - 1
-                elif best[i][k] == best[i - 1][k]:
-                    i -= 1
-                else:
-                    k -= 1
-        choice[a, b] = pairs
-        size[a, b] = total + 1
-        return size[a, b]
+        key = class_t[a], class_p[b]
+        if key not in size:
+            size[key] = 1 + lists(a, b, False)[0]
+        return size[key]
 
     to = [-1] * len(pl)
-    if match(0, 0):
-        todo = [(0, 0)]
-        while todo:
-            a, b = todo.pop()
-            to[b] = a
-            todo += choice[a, b]
+    todo = [(0, 0)] if tl[0] == pl[0] else []
+    while todo:
+        a, b = todo.pop()
+        to[b] = a
+        todo += lists(a, b, True)[1]
     return tuple(to)
 
 

@@ -1,3 +1,4 @@
+import random
 import re
 
 import duckdb
@@ -87,3 +88,52 @@ def test_alignment_takes_the_largest_match():
     found = wrapper.align(template, other)
     assert found[0] == 0 and found[1] == -1 and found[2] == 1 and found[4] == 4
     assert sum(x >= 0 for x in found) == 5
+
+
+def test_long_lists_of_children_have_the_largest_match():
+    """In-order first fit loses all children before a label that stands far right."""
+    kinds = ["p", "ul", "table", "h2", "pre"]
+    many = [kinds[i * i % 5] for i in range(400)]
+    template = wrapper.shape(["#page", "div.first", *many, "div.last"], [-1] + [0] * 402)
+    other = wrapper.shape(["#page", "p", *many[3:], "div.last", "div.first", "pre"], [-1] + [0] * 401)
+    found = wrapper.align(template, other)
+    assert sum(x >= 0 for x in found) == 1 + 1 + 397 + 1
+    assert found[399] == 402
+
+
+def slow_size(tl, below_t, a, pl, below_p, b):
+    if tl[a] != pl[b]:
+        return 0
+    best = [[0] * (len(below_p[b]) + 1)]
+    for x in below_t[a]:
+        row = [0]
+        for k, y in enumerate(below_p[b]):
+            row.append(max(best[-1][k + 1], row[k], best[-1][k] + slow_size(tl, below_t, x, pl, below_p, y)))
+        best.append(row)
+    return best[-1][-1] + 1
+
+
+def test_matches_of_random_trees_are_valid_and_largest():
+    r = random.Random(6)
+
+    def tree(n):
+        return wrapper.shape(["#page", *(r.choice("abc") for _ in range(n))], [-1, *(r.randrange(max(0, i - 4), i + 1) for i in range(n))])
+
+    for _ in range(150):
+        (tl, tp), (pl, pp) = template, other = tree(r.randint(0, 40)), tree(r.randint(0, 40))
+        to = wrapper.align(template, other)
+        pairs = [(a, b) for b, a in enumerate(to) if a >= 0]
+        assert len(pairs) == slow_size(tl, wrapper._children(tp), 0, pl, wrapper._children(pp), 0)
+        assert all(tl[a] == pl[b] and (not b or to[pp[b]] == tp[a]) for a, b in pairs)
+        for x in range(len(pl)):
+            kept = [to[b] for b in wrapper._children(pp)[x] if to[b] >= 0]
+            assert kept == sorted(set(kept))
+
+
+def test_parts_below_the_depth_limit_stay_apart():
+    inner = "<p>kept<nav>menu <ul><li>one</ul></nav><div class='ad'>buy<div>now</div></div><aside>side</aside><p>also</p>"
+    html = "<div>" * 300 + inner + "</div>" * 300 + "<p>end</p>"
+    labels, parents, blocks = wrapper.parse(html)
+    off = wrapper.apart_all(labels, parents)
+    assert [t for node, t in blocks if not off[node]] == ["kept", "also", "end"]
+    assert parents[blocks[-1][0]] == 0
