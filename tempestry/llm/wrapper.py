@@ -2,8 +2,7 @@
 
 Pages of one host are aligned with a page of that host by simple tree matching. Over all
 pages of the host, nodes whose text stays the same become template and nodes whose text
-varies become slots; the smallest part of the tree that holds most of the varying prose
-is the content region, and its slots are the main text. Parts that their own tag or
+varies become slots; all slots together are the main text. Parts that their own tag or
 class calls navigation, advert, comment and the like are never prose.
 """
 
@@ -264,23 +263,14 @@ def shape(labels, parents):
     return tuple(labels), tuple(parents)
 
 
-def holders(to, parents):
-    """For each page node the template node of itself or the nearest one around it."""
-    out = list(to)
-    for i in range(1, len(out)):
-        if out[i] < 0:
-            out[i] = out[parents[i]]
-    return out
-
-
-_SEEN = pa.schema([("host", pa.string()), ("node", pa.int32()), ("digest", pa.int64()), ("n", pa.int64()), ("chars", pa.int64())])
+_SEEN = pa.schema([("host", pa.string()), ("node", pa.int32()), ("digest", pa.int64()), ("n", pa.int64())])
 
 
 def _observe(batches):
     """Texts seen at each template node, added up for each batch of pages.
 
     Node -1 stands for the prose of the whole page. Text of a node that the template
-    lacks counts as a varying one of the node around it.
+    lacks is a slot of its page and is not counted.
     """
     for batch in batches:
         seen = {}
@@ -288,59 +278,37 @@ def _observe(batches):
             pl, pp, blocks = parse(page)
             template = tuple(labels), tuple(parents)
             to = align(template, shape(pl, pp))
-            near, off = holders(to, pp), apart_all(pl, pp)
-            texts = {}
+            off, texts = apart_all(pl, pp), {-1: []}
             for node, text in blocks:
                 if not off[node]:
-                    texts.setdefault((near[node], to[node] >= 0), []).append(text)
-            texts = {k: " ".join(v) for k, v in texts.items()}
-            texts[-1, True] = " ".join(texts.values())
-            for (node, own), text in texts.items():
-                digest = xxhash.xxh64_intdigest(text) >> 1 if own else -1
-                n, chars = seen.get((host, node, digest), (0, 0))
-                seen[host, node, digest] = n + 1, chars + len(text)
+                    texts[-1].append(text)
+                    if to[node] >= 0:
+                        texts.setdefault(to[node], []).append(text)
+            for node, parts in texts.items():
+                key = host, node, xxhash.xxh64_intdigest(" ".join(parts)) >> 1
+                seen[key] = seen.get(key, 0) + 1
         if seen:
-            columns = [*zip(*seen), *zip(*seen.values())]
+            columns = [*zip(*seen), tuple(seen.values())]
             yield emit(_SEEN, **dict(zip(_SEEN.names, columns)))
 
 
-def choose(parents, counts, chars, constant):
-    """The region: deepest template node that holds 70 % of the varying prose."""
-    total = list(chars)
-    for node in constant:
-        total[node] = 0
-    for i in range(len(parents) - 1, 0, -1):
-        total[parents[i]] += total[i]
-    region = 0
-    while True:
-        below = [i for i, p in enumerate(parents) if p == region and total[i] >= 0.7 * max(total[0], 1)]
-        if not below or not _children(parents)[below[0]]:
-            return region
-        region = below[0]
-
-
 _KEPT = pa.schema([("text", pa.string()), ("n_chars", pa.int64())])
 
 
-def main_text(page, template, region, constant):
-    """Text of the content region of a page: its blocks in order, one space between."""
+def main_text(page, template, constant):
+    """Main text of a page: its blocks in order that are neither template nor apart, one space between."""
     labels, parents, blocks = parse(page)
     off = apart_all(labels, parents)
     to = align(template, shape(labels, parents))
-    inside = [x == region for x in to]
-    for i in range(1, len(inside)):
-        inside[i] = inside[i] or inside[parents[i]]
-    if not any(inside):  # another layout than the template's: all prose of the page
-        inside = [True] * len(inside)
-    return " ".join(text for node, text in blocks if inside[node] and not off[node] and to[node] not in constant)
+    return " ".join(text for node, text in blocks if not off[node] and to[node] not in constant)
 
 
 def _extract(batches):
     for batch in batches:
-        names = ("html", "labels", "parents", "region", "constant")
+        names = ("html", "labels", "parents", "constant")
         texts = [
-            main_text(page, (tuple(labels), tuple(parents)), region, frozenset(constant))
-            for page, labels, parents, region, constant in zip(*(batch.column(c).to_pylist() for c in names))
+            main_text(page, (tuple(labels), tuple(parents)), frozenset(constant))
+            for page, labels, parents, constant in zip(*(batch.column(c).to_pylist() for c in names))
         ]
         out = emit(_KEPT, text=texts, n_chars=[len(t) for t in texts])
         own = [batch.column(c) for c in ("page_id", "url")]
@@ -360,7 +328,7 @@ def _hosts(urls: pd.Series) -> pd.Series:
 
 
 def wrappers(pages: DataFrame, scratch: Scratch, same=0.8, least=3) -> DataFrame:
-    """One row per host: its template tree, content region and constant nodes.
+    """One row per host: its template tree and constant nodes.
 
     ``pages`` has host and html. The template is the page with the smallest hash. A node
     is constant if one text stands there on a share of at least ``same`` of the host's pages, of which there
@@ -379,39 +347,29 @@ def wrappers(pages: DataFrame, scratch: Scratch, same=0.8, least=3) -> DataFrame
     seeds = scratch.save(seeds, "templates")
     seen = (
         pages.join(seeds, "host")
-        .mapInArrow(_observe, "host string, node int, digest long, n long, chars long")
+        .mapInArrow(_observe, "host string, node int, digest long, n long")
         .groupBy("host", "node", "digest")
-        .agg(F.sum("n").alias("n"), F.sum("chars").alias("chars"))
+        .agg(F.sum("n").alias("n"))
         .groupBy("host", "node")
-        .agg(
-            F.sum("n").alias("pages"),
-            F.coalesce(F.max(F.when(F.col("digest") >= 0, F.col("n"))), F.lit(0)).alias("top"),
-            F.sum("chars").alias("chars"),
-        )
+        .agg(F.sum("n").alias("pages"), F.max("n").alias("top"))
         .groupBy("host")  # at most one row per node of the template
-        .agg(F.collect_list(F.struct("node", "pages", "top", "chars")).alias("seen"))
+        .agg(F.collect_list(F.struct("node", "pages", "top")).alias("seen"))
     )
 
     def decide(batches):
-        schema = pa.schema([("host", pa.string()), ("region", pa.int32()), ("constant", pa.list_(pa.int32()))])
+        schema = pa.schema([("host", pa.string()), ("constant", pa.list_(pa.int32()))])
         for batch in batches:
             rows = []
-            for parents, found in zip(batch.column("parents").to_pylist(), batch.column("seen").to_pylist()):
-                by_node = {x["node"]: x for x in found}
-                whole = by_node.get(-1, {"pages": 0, "top": 0})
-                chars = [0] * len(parents)
-                for node, x in by_node.items():
-                    if node >= 0:
-                        chars[node] = x["chars"]
-                constant = [
-                    node for node, x in by_node.items()
-                    if node >= 0 and whole["pages"] >= least
+            for found in batch.column("seen").to_pylist():
+                whole = next(x for x in found if x["node"] < 0)
+                rows.append(sorted(
+                    x["node"] for x in found
+                    if x["node"] >= 0 and whole["pages"] >= least
                     and x["top"] >= same * whole["pages"] and x["top"] > whole["top"]
-                ]
-                rows.append((choose(parents, by_node, chars, constant), sorted(constant)))
-            yield emit(schema, host=batch.column("host"), region=[r[0] for r in rows], constant=[r[1] for r in rows])
+                ))
+            yield emit(schema, host=batch.column("host"), constant=rows)
 
-    decided = seeds.join(seen, "host").mapInArrow(decide, "host string, region int, constant array<int>")
+    decided = seen.mapInArrow(decide, "host string, constant array<int>")
     return scratch.save(seeds.join(scratch.save(decided, "decided"), "host"), "wrappers")
 
 
@@ -419,9 +377,9 @@ def extract_text(pages: DataFrame) -> DataFrame:
     """One row per page: page_id, url, text (main text, '' if none), n_chars.
 
     A null html is empty. Addresses without a host, null ones too, form one host. Null
-    and repeated page ids are rows like any other, other columns are ignored. A page
-    whose layout the template does not cover keeps all prose that no element calls
-    apart. No rows give no rows.
+    and repeated page ids are rows like any other, other columns are ignored. Prose that
+    the template does not cover is kept where no element calls it apart. No rows give no
+    rows.
     """
     scratch = Scratch(pages.sparkSession)
     plain = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), _hosts("url").alias("host"))

@@ -4,7 +4,7 @@ import re
 import duckdb
 
 from tempestry.llm import wrapper
-from tests.llm.cases import SF
+from tests.llm.cases import SF, prose
 
 
 def table(spark, rows):
@@ -137,3 +137,24 @@ def test_parts_below_the_depth_limit_stay_apart():
     off = wrapper.apart_all(labels, parents)
     assert [t for node, t in blocks if not off[node]] == ["kept", "also", "end"]
     assert parents[blocks[-1][0]] == 0
+
+
+def test_leads_tables_and_second_articles_are_kept(spark):
+    """Prose beside the part that holds most of it belongs to the article too."""
+    def nested(i):
+        body = f"<div class='body'><p>{prose(i, 90)}</p></div>"
+        return f"<body><div>Daily</div><main><h1>Head {i}</h1><p class='lead'>Lead of {i}.</p>{body}</main></body>"
+
+    def listed(i):
+        items = "".join(f"<li>{prose(50 * i + k, 9)}</li>" for k in range(12))
+        return f"<body><div>Daily</div><article><p>Before {i}.</p><ul>{items}</ul><p>After {i}.</p></article></body>"
+
+    def two(i):
+        return f"<body><div>Daily</div><article><p>{prose(i, 80)}</p></article><article><p>Second {i}.</p></article></body>"
+
+    rows = [(100 * k + i, f"http://{k}.org/{i}", f(i)) for k, f in enumerate((nested, listed, two)) for i in range(6)]
+    got = texts(spark, rows)
+    for i in range(6):
+        assert got[i] == f"Head {i} Lead of {i}. {prose(i, 90)}"
+        assert got[100 + i] == " ".join([f"Before {i}.", *(prose(50 * i + k, 9) for k in range(12)), f"After {i}."])
+        assert got[200 + i] == f"{prose(i, 80)} Second {i}."
