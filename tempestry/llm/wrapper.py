@@ -3,7 +3,8 @@
 Pages of one host are aligned with a page of that host by simple tree matching. Over all
 pages of the host, nodes whose text stays the same become template and nodes whose text
 varies become slots; all slots together are the main text. Parts that their own tag or
-class calls navigation, advert, comment and the like are never prose.
+class calls navigation, advert, comment and the like are never prose, but the names of
+an element that holds the article do not count.
 """
 
 import html as entities
@@ -48,6 +49,10 @@ CLOSES = {
     "tr": ("tr", "td", "th", "p"), "td": ("td", "th", "p"), "th": ("td", "th", "p"),
 }
 HOLDS = frozenset("ul ol dl table tbody thead tfoot html body div article section main nav aside footer header form".split())
+#: Elements that hold the article; their names say nothing of their own text.
+HOLDERS = frozenset("html body main article".split())
+#: Share of a page's varying prose from which on an element holds the article.
+MOST = 0.7
 #: Elements and class or id words that say that a part is no prose of the article.
 APART = frozenset("head title nav footer aside form menu dialog button fieldset label".split())
 APART_WORDS = re.compile(
@@ -56,7 +61,8 @@ APART_WORDS = re.compile(
     r"|comment|comments|commentlist|disqus|respond|reply|replies|form|search|login|signup|subscribe|newsletter|share|social|related"
     r"|breadcrumb[a-z]*|pagination|pager|widget|toolbar|skip)(?:$|[^a-z])"
 )
-
+#: Names of the readers' discussion, which may be longer than the article.
+DISCUSSION = re.compile(r"(?:^|\.)(?:comments?|commentlist|disqus|respond|reply|replies)(?:$|[-_.])")
 
 #: Elements nested deeper count as part of the one at this depth, unless they are apart.
 DEEPEST = 256
@@ -121,26 +127,71 @@ def parse(page):
 
 
 @lru_cache(10_000)
+def named_apart(label):
+    """Whether only its names, or being a form, say that an element is no prose."""
+    tag, _, names = label.partition(".")
+    return not always_apart(label) and (tag == "form" or tag not in HOLDERS and bool(APART_WORDS.search(names)))
+
+
+@lru_cache(10_000)
+def always_apart(label):
+    tag, _, names = label.partition(".")
+    return tag in APART and tag != "form" or "#hidden" in names
+
+
 def apart(label):
     """Whether an element of this label is no prose by its own word."""
-    tag, _, names = label.partition(".")
-    return tag in APART or "#hidden" in names or bool(APART_WORDS.search(names))
+    return always_apart(label) or named_apart(label)
 
 
-def apart_all(labels, parents):
+def apart_all(labels, parents, trusted=()):
     """Which elements are apart, by their own word or that of one around them.
 
-    A header is apart unless an article or main element holds it.
+    A header is apart unless an article or main element holds it. The names of
+    ``trusted`` elements do not count.
     """
     out, inside = [False] * len(labels), [False] * len(labels)
     for i in range(1, len(labels)):
         up, label = parents[i], labels[i]
         tag = label.partition(".")[0]
         inside[i] = inside[up] or tag in ("article", "main")
-        out[i] = out[up] or apart(label) or (tag == "header" and not inside[up])
+        own = always_apart(label) or (named_apart(label) and i not in trusted)
+        out[i] = out[up] or own or (tag == "header" and not inside[up])
     return out
 
 
+def holding(labels, parents, blocks):
+    """Elements named apart that nevertheless hold the article.
+
+    Such an element holds most of the prose in ``blocks``, is no discussion, and no
+    article or main element beside it has prose.
+    """
+    named = {i for i, label in enumerate(labels) if named_apart(label)}
+    trusted = set()
+    if not named:
+        return trusted
+    off, total = apart_all(labels, parents, named), [0] * len(labels)
+    for node, text in blocks:
+        if not off[node]:
+            total[node] += len(text)
+    for i in range(len(labels) - 1, 0, -1):
+        total[parents[i]] += total[i]
+    for i in range(1, len(labels)):  # from the outside in
+        if i not in named or not total[i] or total[i] < MOST * total[0] or DISCUSSION.search(labels[i].partition(".")[2]):
+            continue
+        around, up = set(), i
+        while up >= 0:
+            around.add(up)
+            up = parents[up]
+        off = apart_all(labels, parents, trusted)
+        beside = [False] * len(labels)
+        for k in range(1, len(labels)):
+            beside[k] = beside[parents[k]] or (k not in around and labels[k].partition(".")[0] in ("article", "main"))
+        if not any(beside[node] and not off[node] for node, _ in blocks):
+            trusted.add(i)
+    return trusted
+
+
 def _children(parents):
     out = [[] for _ in parents]
     for i, p in enumerate(parents):
@@ -278,12 +329,13 @@ def _observe(batches):
             pl, pp, blocks = parse(page)
             template = tuple(labels), tuple(parents)
             to = align(template, shape(pl, pp))
-            off, texts = apart_all(pl, pp), {-1: []}
+            off, texts = apart_all(pl, pp, holding(pl, pp, blocks)), {-1: []}
+            never = apart_all(pl, pp, range(len(pl)))
             for node, text in blocks:
                 if not off[node]:
                     texts[-1].append(text)
-                    if to[node] >= 0:
-                        texts.setdefault(to[node], []).append(text)
+                if not never[node] and to[node] >= 0:
+                    texts.setdefault(to[node], []).append(text)
             for node, parts in texts.items():
                 key = host, node, xxhash.xxh64_intdigest(" ".join(parts)) >> 1
                 seen[key] = seen.get(key, 0) + 1
@@ -298,9 +350,10 @@ _KEPT = pa.schema([("text", pa.string()), ("n_chars", pa.int64())])
 def main_text(page, template, constant):
     """Main text of a page: its blocks in order that are neither template nor apart, one space between."""
     labels, parents, blocks = parse(page)
-    off = apart_all(labels, parents)
     to = align(template, shape(labels, parents))
-    return " ".join(text for node, text in blocks if not off[node] and to[node] not in constant)
+    blocks = [(node, text) for node, text in blocks if to[node] not in constant]
+    off = apart_all(labels, parents, holding(labels, parents, blocks))
+    return " ".join(text for node, text in blocks if not off[node])
 
 
 def _extract(batches):

@@ -158,3 +158,29 @@ def test_leads_tables_and_second_articles_are_kept(spark):
         assert got[i] == f"Head {i} Lead of {i}. {prose(i, 90)}"
         assert got[100 + i] == " ".join([f"Before {i}.", *(prose(50 * i + k, 9) for k in range(12)), f"After {i}."])
         assert got[200 + i] == f"{prose(i, 80)} Second {i}."
+
+
+def test_names_of_what_holds_the_article_do_not_count(spark):
+    wraps = [
+        "<body class='has-sidebar'><div>Daily</div>{}</body>",
+        "<body><div>Daily</div><div id='content-with-sidebar'>{}</div></body>",
+        "<body><div>Daily</div><article class='post has-comments'>{}</article></body>",
+        "<body><form action='/x'><div>Daily</div>{}</form></body>",
+        "<body><main class='search widget'><div>Daily</div>{}</main></body>",
+        "<body><div>Daily</div><article><h1>Top</h1><div class='share-widget'>{}</div></article></body>",
+    ]
+
+    def inner(i):
+        apart = f"<div class='ad'>Buy {i}!</div><form>Mail {i}</form>"
+        return f"<p>{prose(i, 40)}</p>{apart}<section id='comments'><article><p>{prose(70 + i, 300)}</p></article></section>"
+
+    rows = [(100 * k + i, f"http://{k}.net/{i}", w.format(inner(i))) for k, w in enumerate(wraps) for i in range(6)]
+    got = texts(spark, rows)
+    assert got == {100 * k + i: prose(i, 40) for k in range(len(wraps)) for i in range(6)}
+
+
+def test_parts_longer_than_an_article_stay_apart():
+    for part in ("<div class='sidebar'>{}</div>", "<div class='ad'>{}</div>", "<section class='comment-list'>{}</section>", "<form>{}</form>"):
+        html = "<main><article><p>Short.</p></article>" + part.format(prose(1, 500)) + "</main>"
+        labels, parents, _ = wrapper.parse("")
+        assert wrapper.main_text(html, (tuple(labels), tuple(parents)), frozenset()) == "Short."
