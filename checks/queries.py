@@ -1357,10 +1357,9 @@ def csv_file_rejects(spark, sf_dir):
         .when(key % 5 == 2, F.concat(text, F.lit(',"x, y",7')))
         .otherwise(F.concat(text, F.lit(',"x, y"')))
     )
-    lines = storm(spark, sf_dir).select(line.alias("value"))
-    header = F.lit("EVENT_ID,PLACE").alias("value")
-    per_file = spark.range(1).select(header)
-    per_file.unionAll(lines).coalesce(1).write.text(path)
+    # one column of whole lines, unquoted, whose name is the header of each file
+    lines = storm(spark, sf_dir).select(line.alias("EVENT_ID,PLACE"))
+    lines.write.csv(path, header=True, sep="\x01", quote="")
     read = read_events_csv(spark, path, multi_line=False, reject_column="rejected")
     return read.select("EVENT_ID", F.col("rejected").isNotNull().alias("ragged"), "PLACE")
 

@@ -5,6 +5,7 @@ from html.parser import HTMLParser
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries
 from checks.storm_view import storm, table
 from tempestry.schema import HARM_COLUMNS
 from tempestry.sources import (
@@ -188,3 +189,13 @@ def test_inspection(spark, tmp_path):
 def test_overview_of_no_rows(spark):
     empty = dataset_overview(spark.range(0)).head()
     assert (empty.row_count, empty.column_count) == (0, 1)
+
+
+def test_ragged_lines_are_written_by_several_tasks(spark, monkeypatch):
+    events = queries.storm(spark, "/root/testdata/sf0.001")
+    monkeypatch.setattr(queries, "storm", lambda *_: events.repartition(5))
+    got = queries.csv_file_rejects(spark, None)
+    assert len(got.inputFiles()) == 5
+    rows = {r.EVENT_ID: (r.ragged, r.PLACE) for r in got.collect()}
+    assert len(rows) == events.count() == got.count()
+    assert all(r == (i % 5 in (1, 2), None if i % 5 == 1 else "x, y") for i, r in rows.items())
