@@ -1 +1,9 @@
-"""Queries over the given tables and the SQL that states their results."""
+"""Queries over the given tables and the SQL that states their results.
+
+Each module registers its own.
+"""
+
+from checks import significance  # noqa: F401
+from checks.queries import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL"]

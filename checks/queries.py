@@ -54,17 +54,18 @@ QUERIES = {}
 SQL = {}
 
 
-def check(sql=None, name=None):
+def check(sql=None, name=None, recursive=False):
     """Register a query ``(spark, sf_dir) -> DataFrame`` with its SQL.
 
     The SQL may use ``storm`` and the given tables.
     """
+    with_ = "WITH RECURSIVE" if recursive else "WITH"
 
     def register(function):
         key = name or function.__name__
         QUERIES[key] = function
         if sql is not None:
-            SQL[key] = f"WITH {STORM_SQL.strip()}\n{sql.strip()}"
+            SQL[key] = f"{with_} {STORM_SQL.strip()}\n{sql.strip()}"
         return function
 
     return register
@@ -1159,8 +1160,8 @@ def permutation_importance(spark, sf_dir):
 
 # --- rollup ---------------------------------------------------------------------------
 
-_MEASURES = ("INJURIES_DIRECT", "INJURIES_INDIRECT", "DEATHS_DIRECT", "DEATHS_INDIRECT")
-_VALUES = {c: f"CAST({c} AS DOUBLE)" for c in _MEASURES} | {
+_HARM_COUNTS = ("INJURIES_DIRECT", "INJURIES_INDIRECT", "DEATHS_DIRECT", "DEATHS_INDIRECT")
+_VALUES = {c: f"CAST({c} AS DOUBLE)" for c in _HARM_COUNTS} | {
     c: amount_sql(c) for c in ("DAMAGE_PROPERTY", "DAMAGE_CROPS")
 }
 _ROLLED_SQL = f"""
@@ -1202,7 +1203,7 @@ def event_rollup(spark, sf_dir):
 
 # Fixed literals that stand in for every 23rd, 29th ... value of a text column.
 _LITERALS = ("nan", "nanK", "inf", "abc", "", " ", "7.9", "3e9")
-_TEXT_COLUMNS = (*_MEASURES, "DAMAGE_PROPERTY", "DAMAGE_CROPS", "MAGNITUDE")
+_TEXT_COLUMNS = (*_HARM_COUNTS, "DAMAGE_PROPERTY", "DAMAGE_CROPS", "MAGNITUDE")
 
 
 def text_storm(spark, sf_dir) -> DataFrame:
@@ -1246,7 +1247,7 @@ def _text_amount_sql(column):
     return f"coalesce({_number_sql(amount_sql(column))}, 0)"
 
 
-_TEXT_HARM_SQL = "(" + " + ".join(_text_count_sql(c) for c in _MEASURES) + ")"
+_TEXT_HARM_SQL = "(" + " + ".join(_text_count_sql(c) for c in _HARM_COUNTS) + ")"
 
 
 @check(

@@ -11,6 +11,7 @@ from tempestry.functions.coerce import (
     safe_float,
     safe_int,
 )
+from tempestry.functions.distributions import correlation_p_value, log_gamma, regularized_beta
 from tempestry.functions.rules import (
     band_names,
     magnitude_band,
@@ -24,11 +25,14 @@ __all__ = [
     "band_names",
     "bare_suffix",
     "blank_to_null",
+    "correlation_p_value",
     "int_measure",
     "label_or",
+    "log_gamma",
     "magnitude_band",
     "measure_parses",
     "parse_amount",
+    "regularized_beta",
     "safe_float",
     "safe_int",
     "severe_by_impact",

@@ -93,7 +93,7 @@ def int_measure(df: DataFrame, name: str) -> Column:
 
 def known_number(number: Column) -> Column:
     """The number, NULL where it is NaN, which Spark orders above all numbers."""
-    return F.when(~F.isnan(number), number)
+    return F.nanvl(number, F.lit(None).cast("double"))
 
 
 def amount_measure(df: DataFrame, name: str) -> Column:

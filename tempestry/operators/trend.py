@@ -5,10 +5,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from tempestry.functions.coerce import safe_int
+from tempestry.functions.distributions import correlation_p_value
 from tempestry.functions.rules import magnitude_band
-from tempestry.operators.ranking import average_ranks
+from tempestry.operators.ranking import with_running_total
 from tempestry.operators.rows import magnitude_over, with_valid_magnitude
 from tempestry.schema import MAGNITUDE, MAGNITUDE_EDGES, YEAR
+from tempestry.session import materialize
 
 
 def yearly_magnitudes(df: DataFrame) -> DataFrame:
@@ -53,20 +55,43 @@ def band_counts(df: DataFrame, edges=MAGNITUDE_EDGES) -> DataFrame:
     return banded.groupBy(YEAR, "band").agg(F.count(F.lit(1)).alias("event_count"))
 
 
-def spearman(pairs: DataFrame, x: str, y: str) -> DataFrame:
-    """Rank correlation of two columns, ties at their average rank.
+def spearman_test(pairs: DataFrame, x: str, y: str) -> DataFrame:
+    """Rank correlation of two columns with the number of pairs and its two-sided p-value.
 
-    Distinct values are ranked by ranges, so no task orders the whole table.
+    Pairs with a NULL take no part; ties stand at their average rank. The pairs are written
+    once and the values of both columns ranked in one pass by ranges, those of ``y`` behind
+    those of ``x``: a correlation does not see that shift, and no task orders the whole
+    table. ``rho`` is NULL if a column is constant, ``p_value`` also below three pairs.
     """
     pairs = pairs.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    ranks = (
-        pairs.select(x, y)
-        .join(average_ranks(pairs, x, "rank_x"), x)
-        .join(average_ranks(pairs, y, "rank_y"), y)
-    )
-    return ranks.agg(F.corr("rank_x", "rank_y").alias("rho"))
+    pairs = materialize(pairs.select(F.col(x).alias("_x"), F.col(y).alias("_y")), "pairs")
+    kinds = {f.name: f.dataType for f in pairs.schema.fields}
+    none = {c: F.lit(None).cast(kind).alias(c) for c, kind in kinds.items()}
+    sides = (F.struct(F.lit(0).alias("_of"), "_x", none["_y"]), F.struct(F.lit(1).alias("_of"), none["_x"], "_y"))
+    values = pairs.select(F.inline(F.array(*sides))).groupBy("_of", "_x", "_y")
+    counts = values.agg(F.count(F.lit(1)).alias("_n"))
+    ranked = with_running_total(counts, ["_of", "_x", "_y"], "_n", "_before")
+    rank = F.col("_before") + (F.col("_n") + 1) / 2
+    ranked_x = ranked.where("_of = 0").select("_x", rank.alias("_rank_x"))
+    ranked_y = ranked.where("_of = 1").select("_y", rank.alias("_rank_y"))
+    both = pairs.join(ranked_x, "_x").join(ranked_y, "_y")
+    # F.corr fails on a constant column
+    spread = F.sqrt(F.var_pop("_rank_x") * F.var_pop("_rank_y"))
+    rho = F.try_divide(F.covar_pop("_rank_x", "_rank_y"), spread)
+    found = both.agg(rho.alias("rho"), F.count(F.lit(1)).alias("n"))
+    return found.withColumn("p_value", correlation_p_value(F.col("rho"), F.col("n")))
+
+
+def spearman(pairs: DataFrame, x: str, y: str) -> DataFrame:
+    """Rank correlation of two columns, ties at their average rank."""
+    return spearman_test(pairs, x, y).select("rho")
 
 
 def spearman_trend(df: DataFrame) -> DataFrame:
     """Rank correlation of the yearly mean magnitude with the year."""
     return spearman(avg_magnitude_by_year(df), YEAR, "avg_magnitude")
+
+
+def spearman_trend_test(df: DataFrame) -> DataFrame:
+    """That correlation with the number of years and its two-sided p-value."""
+    return spearman_test(avg_magnitude_by_year(df), YEAR, "avg_magnitude")

@@ -20,7 +20,7 @@ from tempestry.operators.forest import (
     train_harm_model,
 )
 from tempestry.operators.ranking import sort_desc, top_k
-from tempestry.operators.trend import spearman
+from tempestry.operators.trend import spearman_test
 from tempestry.plans import rollup as rolled
 from tempestry.schema import (
     CZ_NAME,
@@ -54,7 +54,7 @@ def reports(rollup: DataFrame) -> dict[str, DataFrame]:
         "magnitude_trend": trend.orderBy(YEAR),
         "max_magnitude_by_year": rolled.max_magnitude_by_year(rollup).orderBy(YEAR),
         "band_counts": rolled.band_counts(rollup).orderBy(YEAR, "band"),
-        "spearman_trend": spearman(trend, YEAR, "avg_magnitude"),
+        "spearman_trend": spearman_test(trend, YEAR, "avg_magnitude"),
         "tornado_summary_by_scale": sort_desc(by_scale, "tornado_count", [STATE]),
         "tornado_summary_by_impact": sort_desc(by_impact, "tornado_count", [STATE]),
         "state_event_frequency": sort_desc(frequency, "event_count", [STATE, EVENT_TYPE]),

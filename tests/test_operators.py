@@ -1,10 +1,13 @@
 from collections import Counter, defaultdict
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from checks.storm_view import storm
+from tempestry.functions import log_gamma, regularized_beta
 from tempestry.operators import (
     damage,
     features,
@@ -112,6 +115,36 @@ def test_spearman_with_ties(spark):
     assert trend.spearman(pairs, "x", "y").head()[0] == pytest.approx(3.5 / 95**0.5)
 
 
+def _test_of(spark, rows):
+    return tuple(trend.spearman_test(spark.createDataFrame(rows, "x int, y double"), "x", "y").head())
+
+
+def test_p_values_of_ties_perfect_and_few_pairs(spark):
+    rho = 3.5 / 95**0.5
+    rows = [(1, 5.0), (2, 5.0), (3, 7.0), (4, 1.0), (5, 9.0), (None, 1.0), (9, None)]
+    found, n, p = _test_of(spark, rows)
+    angle = math.asin(rho)
+    tail = 2 / math.pi * (angle + math.sin(angle) * math.cos(angle))  # three degrees of freedom
+    assert n == 5 and (found, p) == pytest.approx((rho, 1 - tail), abs=1e-10)
+    for sign in (1, -1):
+        assert _test_of(spark, [(i, sign * i * i / 2) for i in range(6)]) == pytest.approx((sign, 6, 0), abs=1e-12)
+    assert _test_of(spark, [(1, 2.0), (2, 3.0)]) == (pytest.approx(1.0), 2, None)
+    assert _test_of(spark, [(1, 2.0), (2, 2.0), (3, 2.0)]) == (None, 3, None)
+    assert _test_of(spark, [(None, 2.0)]) == (None, 0, None)
+
+
+def test_beta_function_at_small_large_and_end_arguments(spark):
+    cases = [(0.3, 1.0, 4.0, 1 - 0.7**4), (0.7, 3.0, 1.0, 0.7**3), (0.5, 2.5, 2.5, 0.5), (0.5, 40.0, 40.0, 0.5),
+             (0.25, 0.5, 0.5, 1 / 3), (0.0, 2.0, 3.0, 0.0), (1.0, 2.0, 3.0, 1.0), (0.5, 1e6, 1e6, 0.5), (0.25, 2.0, 1.0, 0.0625)]
+    df = spark.createDataFrame(cases, "x double, a double, b double, expected double")
+    rows = df.select(regularized_beta(F.col("x"), F.col("a"), F.col("b")), "expected").collect()
+    for value, expected in rows:
+        assert value == pytest.approx(expected, abs=2e-9)
+    values = [0.5, 1.0, 1.5, 7.25, 300.0, 1e6]
+    gammas = spark.createDataFrame([(v,) for v in values], "z double").select(log_gamma(F.col("z")))
+    assert [r[0] for r in gammas.collect()] == pytest.approx([math.lgamma(v) for v in values], abs=1e-11, rel=1e-12)
+
+
 def test_text_years_that_do_not_parse_are_left_out(spark):
     data = [("2020", 5.0), ("x", 6.0), (None, 7.0)]
     df = spark.createDataFrame(data, "YEAR string, MAGNITUDE double")

@@ -1,7 +1,7 @@
 import pytest
 
 from __spark_entry__ import entry
-from checks.queries import QUERIES, SQL
+from checks import QUERIES, SQL
 from tests.oracle import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
