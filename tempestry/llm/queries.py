@@ -4,6 +4,7 @@ import functools
 
 from tempestry.llm import (
     language_model,
+    lexical,
     mixing,
     neighbours,
     packing,
@@ -158,3 +159,38 @@ def op9_wrapper_text(spark, sf_dir):
 @register
 def op3_nn_descent(spark, sf_dir):
     return neighbours.nearest(read_table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op13_rmq_search(spark, sf_dir):
+    return lexical.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+SQL["op13_rmq_search"] = r"""
+WITH fold AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+),
+docs AS (SELECT row_number() OVER () AS d, doc_id, terms, len(terms) AS n FROM fold WHERE len(terms) > 0),
+totals AS (SELECT count(*) AS n_all, CAST(sum(n) AS BIGINT) AS l_all FROM docs),
+postings AS (
+  SELECT d, doc_id, n, term, count(*) AS tf FROM (SELECT d, doc_id, n, unnest(terms) AS term FROM docs) GROUP BY ALL
+),
+asked AS (
+  SELECT row_number() OVER () AS i, item_id, unnest(list_distinct(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term FROM benchmark
+),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_all + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM postings, totals GROUP BY term, n_all
+),
+scores AS (
+  SELECT i, item_id, d, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf
+    + 8 * (100 - 90 + (90 * n * n_all) // l_all)))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN postings USING (term), totals GROUP BY i, item_id, d, doc_id
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST, d) AS k FROM scores WHERE score > 0
+)
+SELECT item_id, CAST(k AS INT) AS rank, doc_id, score FROM ranked WHERE k <= 10"""
