@@ -3,6 +3,7 @@
 import functools
 
 from tempestry.llm import (
+    conversations,
     language_model,
     lexical,
     mixing,
@@ -194,3 +195,56 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST, d) AS k FROM scores WHERE score > 0
 )
 SELECT item_id, CAST(k AS INT) AS rank, doc_id, score FROM ranked WHERE k <= 10"""
+
+
+@register
+def op11_prefix_trie(spark, sf_dir):
+    return conversations.prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
+SQL["op11_prefix_trie"] = r"""
+WITH texts AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL),
+turns AS (
+  SELECT conv_id, r, t, row_number() OVER (PARTITION BY conv_id
+    ORDER BY turn NULLS FIRST, sha256(length(r) || ':' || r || t)) AS p FROM texts
+),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, n, xor(list_reduce(list_concat([4294967295::BIGINT],
+      flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+        lambda x: list_concat([ord(x)::BIGINT], [-1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[])))),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END),
+    4294967295) % 4 AS h
+  FROM (SELECT conv_id, max(p) AS n FROM turns GROUP BY conv_id)
+),
+rebuilt AS (
+  SELECT c.conv_id, p AS d, r, t FROM convs c JOIN turns b ON b.conv_id = c.base AND p <= h
+  UNION ALL
+  SELECT c.conv_id, least(c.h, coalesce(b.n, 0)) + p - c.h, r, t
+  FROM convs c JOIN turns o ON o.conv_id = c.conv_id AND p > c.h LEFT JOIN convs b ON b.conv_id = c.base
+),
+lists AS (
+  SELECT conv_id, coalesce(s, []) AS s FROM convs LEFT JOIN (
+    SELECT conv_id, list({'r': r, 't': t} ORDER BY d) AS s FROM rebuilt GROUP BY conv_id) USING (conv_id)
+),
+members AS (
+  SELECT conv_id, d, len(s) AS total, s[1:d] AS k FROM (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS d FROM lists)
+),
+named AS (SELECT conv_id, d, total, k, min(conv_id) OVER (PARTITION BY d, k) AS rep FROM members),
+nodes AS (
+  SELECT rep, d, count(*) AS n_convs, any_value(k) AS k,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE d = total), '')) AS ends
+  FROM named GROUP BY rep, d
+),
+linked AS (SELECT n.*, a.rep AS parent FROM nodes n LEFT JOIN named a ON a.conv_id = n.rep AND a.d = n.d - 1),
+kids AS (SELECT parent AS rep, d - 1 AS d, count(*) AS n FROM linked WHERE d > 0 GROUP BY ALL),
+valued AS (
+  SELECT l.*, coalesce(kids.n, 0) AS n_children, CASE WHEN l.d = 0 THEN 0
+    ELSE (n_convs - 1) * len(regexp_extract_all(k[l.d].t, '[^\x20\x09-\x0D]+')) END AS saved
+  FROM linked l LEFT JOIN kids ON kids.rep = l.rep AND kids.d = l.d
+),
+sums AS (
+  SELECT a.rep, a.d, count(*) FILTER (WHERE n_children = 0) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+  FROM valued v JOIN named a ON a.conv_id = v.rep AND a.d <= v.d GROUP BY a.rep, a.d
+)
+SELECT rep AS conv_id, d AS depth, parent AS parent_conv_id, n_convs, n_children, n_leaves, saved_tokens,
+  ends AS ends_sha256 FROM valued JOIN sums USING (rep, d)"""
