@@ -14,6 +14,7 @@ from tempestry.llm import (
     simhash,
     suffix_dedup,
     urls,
+    warc,
     wrapper,
 )
 from tempestry.llm.common import read_table, ship
@@ -248,3 +249,17 @@ sums AS (
 )
 SELECT rep AS conv_id, d AS depth, parent AS parent_conv_id, n_convs, n_children, n_leaves, saved_tokens,
   ends AS ends_sha256 FROM valued JOIN sums USING (rep, d)"""
+
+
+@register
+def op12_warc_segments(spark, sf_dir):
+    return warc.archive_pages(read_table(spark, sf_dir, "pages"))
+
+
+SQL["op12_warc_segments"] = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS html, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS n FROM pages),
+firsts AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS first FROM payloads)
+SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
+  CASE WHEN n >= 1000 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id <> first THEN first END AS refers_to
+FROM firsts"""
