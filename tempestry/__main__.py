@@ -24,7 +24,7 @@ def main(argv=None):
         "--partitions", type=int, default=200, help="tasks of the forest, about one per 128 MB"
     )
     parser.add_argument(
-        "--one-line", action="store_true", help="no record spans lines: large files are split"
+        "--one-line", action="store_true", help="no record spans lines: read with Spark's own line-wise reader"
     )
     parser.add_argument("--master", default=None)
     args = parser.parse_args(argv)
@@ -33,7 +33,9 @@ def main(argv=None):
     if args.parquet:
         events = spark.read.parquet(args.input)
     else:
-        read = read_events_csv(spark, args.input, multi_line=not args.one_line)
+        read = read_events_csv(
+            spark, args.input, multi_line=not args.one_line, split=not args.one_line
+        )
         write_by_year(read, f"{args.output}/events")
         events = spark.read.parquet(f"{args.output}/events")
         events = events.withColumn("YEAR", F.col("YEAR").cast("int"))

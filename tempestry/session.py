@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +35,23 @@ def build_session(app_name="tempestry", master=None, **extra):
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give executors the package, once per session, for the few steps that run Python there.
+
+    A job submitted with the package in ``--py-files`` does not need this.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_tempestry_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="package-"), f"tempestry-{uuid.uuid4().hex}.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, str(file.relative_to(package.parent)))
+    context.addPyFile(str(archive))
+    context._tempestry_shipped = True
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that ``spark.checkpoint.dir`` names, which all executors see.
 

@@ -1,20 +1,28 @@
 """CSV ingest: quoted multi-line records, shifted layouts, yearly files.
 
-Columns are resolved by header name, never by position. A multi-line or gzip
-file cannot be split, so each one is read by one task: land large inputs as
-many files and convert them once with ``write_by_year``; every analysis then
-reads splittable, column-pruned Parquet.
+Columns are resolved by header name, never by position. Spark's own reader gives
+each multi-line file to one task; large ones are read by blocks with ``split``. Gzip
+cannot be split. Convert once with ``write_by_year``; every analysis then reads
+splittable, column-pruned Parquet.
 """
 
+import csv
+import io
 import re
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType, NumericType, StringType, StructField, StructType
 
 from tempestry.functions.coerce import safe_float
 from tempestry.schema import EVENT_SCHEMA
+from tempestry.session import Scratch
+from tempestry.sources.records import cut_records, files_by_header
+
+_FILE, _RAGGED = "_source_file", "_ragged_record"
+# Folder value that stands for NULL.
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 # Header of an index column that a writer left without a name.
 _UNNAMED = re.compile(r"_c\d+|Unnamed: \d+")
@@ -61,36 +69,72 @@ def conform(df: DataFrame, schema: StructType = EVENT_SCHEMA) -> DataFrame:
     return df.select(*selected)
 
 
-def _header_lines(spark: SparkSession, files) -> list:
-    """The first line of each file, read on the driver as other formats read footers."""
-    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
-    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
-    lines = []
-    for file in files:
-        path = jvm.org.apache.hadoop.fs.Path(file)
-        stream, codec = path.getFileSystem(conf).open(path), codecs.getCodec(path)
-        if codec is not None:
-            stream = codec.createInputStream(stream)
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        try:
-            lines.append(reader.readLine())
-        finally:
-            reader.close()
-    return lines
-
-
-def _files_by_header(spark: SparkSession, paths) -> list:
-    """The files of files, folders and globs, listed once, grouped by their first line.
-
-    Empty files are left out. Only names are listed: no content is read by this job.
-    """
+def _list_files(spark: SparkSession, paths) -> list:
+    """The names of the files of files, folders and globs. No content is read by this job."""
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    files = sorted(r.path for r in listing.load(list(paths)).select("path").collect())
-    groups = {}
-    for file, header in zip(files, _header_lines(spark, files)):
-        if header is not None:
-            groups.setdefault(header, []).append(file)
-    return list(groups.values())
+    return sorted(r.path for r in listing.load(list(paths)).select("path").collect())
+
+
+def _folder_columns(paths, files) -> dict:
+    """Columns that folders below a given folder name, as in ``year=2020/``, with their type."""
+    values = {}
+    for root in (p.rstrip("/") for p in paths if not re.search(r"[*?\[{]", p)):
+        for file in files:
+            inner = file.partition(f"{root.removeprefix('file://')}/")[2]
+            for folder in inner.split("/")[:-1]:
+                name, mark, value = folder.partition("=")
+                if mark:
+                    values.setdefault(name, set()).add(value)
+    small = re.compile(rf"-?\d{{1,9}}|{_NO_VALUE}")
+    return {n: "int" if all(small.fullmatch(v) for v in vs) else "string" for n, vs in values.items()}
+
+
+def _decoded(text: Column) -> Column:
+    return F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+
+
+def _with_folder_columns(df: DataFrame, columns: dict, file: Column) -> DataFrame:
+    """Add the columns that the file's folders name, unless the file has them itself."""
+    own = {c.lower() for c in df.columns}
+    found = {}
+    for name, kind in columns.items():
+        if name.lower() not in own:
+            value = _decoded(F.regexp_extract(_decoded(file), rf"/\Q{name}\E=([^/]*)/", 1))
+            value = F.when(~value.isin("", _NO_VALUE), value)
+            found[name] = value.try_cast(kind)
+    return df.withColumns(found)
+
+
+def _header_names(header: str) -> list:
+    """Column names of a header record, blank and repeated ones as the CSV reader names them."""
+    names = next(csv.reader(io.StringIO(header, newline="")), [])
+    lower = [n.lower() for n in names]
+    return [
+        f"_c{i}" if not n else f"{n}{i}" if lower.count(n.lower()) > 1 else n for i, n in enumerate(names)
+    ]
+
+
+def _split_frames(spark: SparkSession, paths, reject_column) -> list:
+    """A frame of text columns and ``_FILE`` for each distinct header, records cut by blocks."""
+    scratch = Scratch(spark)
+    records = cut_records(spark, paths, scratch)
+    first = records.where("first").select("file", F.col("text").alias("header"))
+    first = scratch.save(first.withColumn("cr", F.endswith("header", F.lit("\r"))), "first")
+    distinct = sorted(first.select("header", "cr").distinct().collect())
+    frames = []
+    for header, cr in distinct:
+        names = _header_names(header.removesuffix("\r"))
+        kind = StructType([StructField(n, StringType()) for n in (*names, reject_column or _RAGGED)])
+        rows = records.where("NOT first")
+        if len(distinct) > 1:
+            rows = rows.join(first.where(F.col("header") == header), "file", "left_semi")
+        # as Spark's reader does: in files of such line ends they are plain also inside quotes
+        text = F.regexp_replace("text", r"\r(\n|\z)", "$1") if cr else F.col("text")
+        ddl = ", ".join(f"`{f.name.replace('`', '``')}` string" for f in kind)
+        options = {"quote": '"', "escape": '"', "columnNameOfCorruptRecord": reject_column or _RAGGED}
+        parsed = rows.select(F.col("file").alias(_FILE), F.inline(F.array(F.from_csv(text, ddl, options))))
+        frames.append(parsed if reject_column else parsed.drop(_RAGGED))
+    return frames
 
 
 def read_events_csv(
@@ -100,32 +144,54 @@ def read_events_csv(
     multi_line=True,
     infer_types=False,
     reject_column=None,
+    split=False,
 ) -> DataFrame:
     """Read CSV with a header into normalized, typed columns.
 
     ``path`` is a file, folder or glob, or a list of them. Each file's columns are those
     of its own header; files of the same header share one scan, and columns that a file
-    lacks are NULL. ``infer_types`` adds the extra pass that guesses types;
-    ``schema=None`` keeps the columns as read. ``multi_line=False`` reads plain one-line
-    records and splits large files. ``reject_column`` names a column for the raw text of
-    records with too few or too many fields, NULL for all others; without it their missing
-    fields are NULL and surplus ones are lost.
+    lacks are NULL. Folders named ``column=value`` below a given folder are columns too.
+    ``infer_types`` adds the extra pass that guesses types; ``schema=None`` keeps the columns
+    as read. ``reject_column`` names a column for the raw text of records with too few or too
+    many fields, NULL for all others; without it their missing fields are NULL and surplus
+    ones are lost.
+
+    Multi-line files are read by one task each. ``split=True`` reads them by blocks: two scans
+    and a written table of records, in as many tasks as there are blocks. It knows UTF-8 text
+    whose records end at line feeds, and guesses no types. ``multi_line=False`` reads plain
+    one-line records and splits large files.
     """
     paths = [path] if isinstance(path, str) else list(path)
+    if split and (infer_types or not multi_line):
+        raise ValueError("split=True is for multi-line records and guesses no types")
+    files = _list_files(spark, paths)
+    folders = _folder_columns(paths, files)
+    found = []
+    if split:
+        found = _split_frames(spark, files, reject_column) if files else []
+    else:
+        for group in files_by_header(spark, files).values() or [paths]:
+            df = _read(spark, group, multi_line, infer_types)
+            if reject_column:
+                fields = [*df.schema.fields, StructField(reject_column, StringType())]
+                df = _reader(spark, multi_line).option("columnNameOfCorruptRecord", reject_column)
+                df = df.schema(StructType(fields)).csv(group)
+            if folders:
+                df = df.select("*", F.col("_metadata.file_path").alias(_FILE))
+            found.append(df)
     frames = []
-    for files in _files_by_header(spark, paths) or [paths]:
-        df = _read(spark, files, multi_line, infer_types)
-        if reject_column:
-            fields = [*df.schema.fields, StructField(reject_column, StringType())]
-            df = _reader(spark, multi_line).option("columnNameOfCorruptRecord", reject_column)
-            df = df.schema(StructType(fields)).csv(files)
-        df = normalize_layout(df)
+    for df in found:
+        if folders:
+            df = _with_folder_columns(df, folders, F.col(_FILE))
+        df = normalize_layout(df.drop(_FILE))
         frames.append(df if schema is None else conform(df, schema))
+    if not frames:
+        return spark.createDataFrame([], StructType([]))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def read_many(
-    spark: SparkSession, paths, schema: StructType | None = EVENT_SCHEMA, multi_line=True
+    spark: SparkSession, paths, schema: StructType | None = EVENT_SCHEMA, multi_line=True, split=False
 ) -> DataFrame:
     """Stack files (plain or gzip) whose headers may differ."""
-    return read_events_csv(spark, list(paths), schema, multi_line)
+    return read_events_csv(spark, list(paths), schema, multi_line, split=split)
