@@ -1,15 +1,10 @@
 """Helpers of the corpus operators: reading tables, columns as bytes, Arrow output."""
 
-import os
-import tempfile
-import uuid
-import zipfile
-from pathlib import Path
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tempestry.session import ship_package
 
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
@@ -23,16 +18,7 @@ def ship(spark: SparkSession) -> None:
     """
     if spark.conf.get(_BATCH) == "10000":
         spark.conf.set(_BATCH, "1000")
-    context = spark.sparkContext
-    if getattr(context, "_tempestry_shipped", False):
-        return
-    package = Path(__file__).resolve().parent.parent
-    archive = os.path.join(tempfile.mkdtemp(prefix="package-"), f"tempestry-{uuid.uuid4().hex}.zip")
-    with zipfile.ZipFile(archive, "w") as out:
-        for file in sorted(package.rglob("*.py")):
-            out.write(file, str(file.relative_to(package.parent)))
-    context.addPyFile(archive)
-    context._tempestry_shipped = True
+    ship_package(spark)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
