@@ -3,7 +3,7 @@
 Each module registers its own.
 """
 
-from checks import ingest, significance  # noqa: F401
+from checks import ingest, permutations, significance, trees  # noqa: F401
 from checks.queries import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

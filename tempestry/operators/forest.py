@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tempestry.operators.evaluation import grouped_area_under_roc
 from tempestry.operators.features import CATEGORICAL, FEATURES, NUMERIC, feature_stages
-from tempestry.operators.ranking import top_k, with_next_row
+from tempestry.operators.ranking import top_k, with_next_rows
 from tempestry.schema import (
     EVENT_COUNT_PER_CZ,
     EVENT_ID,
@@ -63,21 +63,26 @@ def train_harm_model(
         placed.unpersist()
 
 
-def feature_importance(model: PipelineModel, scored: DataFrame) -> DataFrame:
-    """Importance of each vector slot with its feature group and category.
-
-    Slot names come from the metadata of the assembled vector. One row per slot:
-    the table is as wide as the model, whatever the number of events.
-    """
+def vector_slots(model: PipelineModel, scored: DataFrame) -> list:
+    """(slot, feature group, category or None) of the assembled vector, from its metadata."""
     attributes = scored.schema["features"].metadata["ml_attr"]["attrs"]
-    weights = model.stages[-1].featureImportances.toArray()
     inputs = sorted(model.stages[-2].getInputCols(), key=len, reverse=True)
     rows = []
     for attribute in (a for kind in attributes.values() for a in kind):
         slot, name = attribute["idx"], attribute["name"]
         source = next(c for c in inputs if name == c or name.startswith(f"{c}_"))
         category = name.removeprefix(source).removeprefix("_") or None
-        rows.append((slot, source.removesuffix("_vec"), category, float(weights[slot])))
+        rows.append((slot, source.removesuffix("_vec"), category))
+    return rows
+
+
+def feature_importance(model: PipelineModel, scored: DataFrame) -> DataFrame:
+    """Importance of each vector slot with its feature group and category.
+
+    One row per slot: the table is as wide as the model, whatever the number of events.
+    """
+    weights = model.stages[-1].featureImportances.toArray()
+    rows = [(*slot, float(weights[slot[0]])) for slot in vector_slots(model, scored)]
     return scored.sparkSession.createDataFrame(
         rows, "slot int, feature_group string, category string, importance double"
     )
@@ -169,17 +174,19 @@ def results_record(quality: dict, importances: DataFrame) -> DataFrame:
 
 
 def with_donor_values(
-    df: DataFrame, columns=FEATURES, row_id=EVENT_ID, seed=42, out="donor"
+    df: DataFrame, columns=FEATURES, row_id=EVENT_ID, seed=42, out="donor", repeats=None
 ) -> DataFrame:
-    """Add a struct holding another row's values of ``columns``.
+    """Add a struct holding another row's values of ``columns``, or an array of ``repeats``.
 
     Rows stand in the order of a seeded hash of their id and each takes the values of
-    the next, the last those of the first: every row gives its values exactly once,
-    whatever the number of rows. The order is kept by ranges, one shuffle for all columns.
+    the next, the last those of the first: every row gives its values exactly once (in each
+    repeat, which is one row further on), whatever the number of rows. The order is kept by
+    ranges, one shuffle for all columns and repeats.
     """
     place = F.md5(F.concat(F.col(row_id).cast("string"), F.lit(f":{seed}")))
     placed = df.withColumn("_place", place)
-    return with_next_row(placed, ["_place", row_id], columns, out).drop("_place")
+    donors = with_next_rows(placed, ["_place", row_id], columns, repeats or 1, out).drop("_place")
+    return donors if repeats else donors.withColumn(out, F.col(out)[0])
 
 
 def harm_probability(model: PipelineModel):
@@ -226,3 +233,46 @@ def permutation_importance(
         F.col("auc").alias("permuted_auc"),
         (F.col("base_auc") - F.col("auc")).alias("auc_drop"),
     )
+
+
+def repeated_permutation_importance(
+    scorer,
+    df: DataFrame,
+    columns=CATEGORICAL + NUMERIC,
+    repeats=5,
+    row_id=EVENT_ID,
+    seed=42,
+    label=HAS_HARM,
+) -> DataFrame:
+    """Mean and spread of the fall in the area under the curve over several permutations.
+
+    As ``permutation_importance`` with ``repeats`` donors for each row, all from one ordered
+    pass. ``sd_drop`` is the sample standard deviation, NULL for one repeat.
+    """
+    if isinstance(scorer, PipelineModel):
+        scorer = harm_probability(scorer)
+    paired = with_donor_values(df, columns, row_id, seed, repeats=repeats)
+    plain = F.struct(
+        F.lit(None).cast("string").alias("feature"), F.lit(0).alias("repeat"), *[F.col(c) for c in columns]
+    )
+    changed = [
+        F.struct(
+            F.lit(name).alias("feature"),
+            F.lit(i + 1).alias("repeat"),
+            *[(F.col("donor")[i][c] if c == name else F.col(c)).alias(c) for c in columns],
+        )
+        for name in columns
+        for i in range(repeats)
+    ]
+    rows = paired.select(row_id, label, F.inline(F.array(plain, *changed)))
+    rows = rows.withColumn("_variant", F.struct("feature", "repeat"))
+    areas = grouped_area_under_roc(scorer(rows), "_variant", label)
+    base = F.max(F.when(F.col("_variant.feature").isNull(), F.col("auc"))).over(Window.partitionBy())
+    drops = areas.select("_variant.feature", base.alias("base_auc"), (base - F.col("auc")).alias("_drop"))
+    return drops.where("feature IS NOT NULL").groupBy("feature").agg(
+        F.max("base_auc").alias("base_auc"),
+        F.avg("_drop").alias("mean_drop"),
+        F.stddev_samp("_drop").alias("sd_drop"),
+        F.min("_drop").alias("least_drop"),
+        F.max("_drop").alias("most_drop"),
+    )

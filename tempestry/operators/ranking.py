@@ -54,24 +54,44 @@ def average_ranks(df: DataFrame, column: str, out="rank") -> DataFrame:
     return ranked.select(column, (F.col("_before") + (F.col("_n") + 1) / 2).alias(out))
 
 
-def with_next_row(df: DataFrame, order, columns, out="donor") -> DataFrame:
-    """Add a struct of ``columns`` of the next row in ``order``; the last takes the first's."""
+def with_next_rows(df: DataFrame, order, columns, k=1, out="donors") -> DataFrame:
+    """Add an array of structs of ``columns``: those of the next ``k`` rows in ``order``.
+
+    The order is a ring: the last row is followed by the first, as often as ``k`` asks. Rows
+    are dealt out by ranges and written once, whatever ``k`` is. What a range lacks at its
+    end are the first rows of later ones: ``k`` rows per range are copied over.
+    """
     scratch = Scratch(df.sparkSession)
     ranged = scratch.save(
         df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranged"
     )
-    values = F.struct(*columns)
-    firsts = ranged.groupBy("_range").agg(F.min_by(values, F.struct(*order)).alias("_first"))
-    by_range = Window.orderBy("_range")  # a row per partition
-    following = F.coalesce(
-        F.lead("_first").over(by_range),
-        F.first("_first").over(by_range.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+    inside = Window.partitionBy("_range").orderBy(*order)
+    values = F.struct(*columns).alias("_values")
+    placed = ranged.select("_range", values, F.row_number().over(inside).alias("_place"))
+    heads = scratch.save(placed.where(F.col("_place") <= k), "heads")
+    upto = F.sum("_size").over(Window.orderBy("_range"))  # a row per partition
+    ranges = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
+    ranges = ranges.select("_range", "_size", upto.alias("_end"))
+    ranges = scratch.save(ranges, "ranges")
+    total = ranges.agg(F.max("_end")).head()[0] or 0
+    heads = heads.join(ranges, "_range").select(
+        (F.col("_end") - F.col("_size") + F.col("_place") - 1).alias("_at"), "_values"
     )
-    firsts = firsts.select("_range", following.alias("_following"))
-    inside = F.lead(values).over(Window.partitionBy("_range").orderBy(*order))
-    return (
-        ranged.withColumn("_inside", inside)
-        .join(firsts, "_range")
-        .withColumn(out, F.coalesce("_inside", "_following"))
-        .drop("_range", "_inside", "_following")
+    step = F.explode(F.sequence(F.lit(1), F.lit(k))).alias("_step")
+    wanted = ranges.select("_range", "_size", "_end", step)
+    wanted = wanted.withColumn("_at", (F.col("_end") + F.col("_step") - 1) % F.lit(max(total, 1)))
+    extra = wanted.join(heads, "_at").select(
+        "_range", "_values", (F.col("_size") + F.col("_step")).alias("_place")
     )
+    names = [f"_{i}" for i in range(len(df.columns))]
+    row = F.struct(*[F.col(f"`{c}`").alias(n) for c, n in zip(df.columns, names)])
+    own = ranged.select("_range", row.alias("_row"), values, F.row_number().over(inside).alias("_place"))
+    both = own.unionByName(extra, allowMissingColumns=True)
+    following = Window.partitionBy("_range").orderBy("_place").rowsBetween(1, k)
+    both = both.withColumn(out, F.collect_list("_values").over(following)).where("_row IS NOT NULL")
+    return both.select(*[F.col(f"_row.{n}").alias(c) for c, n in zip(df.columns, names)], out)
+
+
+def with_next_row(df: DataFrame, order, columns, out="donor") -> DataFrame:
+    """Add a struct of ``columns`` of the next row in ``order``; the last takes the first's."""
+    return with_next_rows(df, order, columns, 1, out).withColumn(out, F.col(out)[0])

@@ -11,6 +11,7 @@ from tempestry.operators.features import (
     split3,
     with_interaction_product,
 )
+from tempestry.operators.ranking import with_next_rows
 from tempestry.session import materialize
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -139,3 +140,21 @@ def test_interaction_features_reach_the_vector(parts):
     vector = fitted.transform(rows).head().features
     kinds = [len(labels) for labels in fitted.stages[0].labelsArray]
     assert len(vector) == sum(kinds) + 2 + kinds[0] * kinds[1] + 1
+
+
+def test_donors_of_several_permutations_from_one_order(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for n in (1, 2, 3, 40):
+            df = spark.range(n).select((F.col("id") * 7 % n).alias("EVENT_ID"), F.lit("x").alias("_row")).repartition(3)
+            rows = with_next_rows(df, ["EVENT_ID"], ["EVENT_ID"], 6).collect()
+            found = {r.EVENT_ID: [d.EVENT_ID for d in r.donors] for r in rows}
+            assert found == {i: [(i + j) % n for j in range(1, 7)] for i in range(n)}
+            assert {r._row for r in rows} == {"x"}
+        assert with_next_rows(df.limit(0), ["EVENT_ID"], ["EVENT_ID"], 3).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    plan = forest.with_donor_values(df.drop("_row"), ("EVENT_ID",), repeats=50)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    few = forest.with_donor_values(df.drop("_row"), ("EVENT_ID",), repeats=1)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == few.count("Exchange")
