@@ -1,6 +1,6 @@
 """Magnitude over the years."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
@@ -55,26 +55,47 @@ def band_counts(df: DataFrame, edges=MAGNITUDE_EDGES) -> DataFrame:
     return banded.groupBy(YEAR, "band").agg(F.count(F.lit(1)).alias("event_count"))
 
 
-def spearman_test(pairs: DataFrame, x: str, y: str) -> DataFrame:
-    """Rank correlation of two columns with the number of pairs and its two-sided p-value.
+def _ranked_by_ranges(pairs: DataFrame) -> DataFrame:
+    """Pairs with ``_rank_x`` and ``_rank_y``, the values of both ranked in one pass by ranges.
 
-    Pairs with a NULL take no part; ties stand at their average rank. The pairs are written
-    once and the values of both columns ranked in one pass by ranges, those of ``y`` behind
-    those of ``x``: a correlation does not see that shift, and no task orders the whole
-    table. ``rho`` is NULL if a column is constant, ``p_value`` also below three pairs.
+    Those of ``_y`` stand behind those of ``_x``: a correlation does not see that shift.
     """
-    pairs = pairs.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    pairs = materialize(pairs.select(F.col(x).alias("_x"), F.col(y).alias("_y")), "pairs")
     kinds = {f.name: f.dataType for f in pairs.schema.fields}
     none = {c: F.lit(None).cast(kind).alias(c) for c, kind in kinds.items()}
-    sides = (F.struct(F.lit(0).alias("_of"), "_x", none["_y"]), F.struct(F.lit(1).alias("_of"), none["_x"], "_y"))
+    sides = (
+        F.struct(F.lit(0).alias("_of"), "_x", none["_y"]),
+        F.struct(F.lit(1).alias("_of"), none["_x"], "_y"),
+    )
     values = pairs.select(F.inline(F.array(*sides))).groupBy("_of", "_x", "_y")
     counts = values.agg(F.count(F.lit(1)).alias("_n"))
     ranked = with_running_total(counts, ["_of", "_x", "_y"], "_n", "_before")
     rank = F.col("_before") + (F.col("_n") + 1) / 2
     ranked_x = ranked.where("_of = 0").select("_x", rank.alias("_rank_x"))
     ranked_y = ranked.where("_of = 1").select("_y", rank.alias("_rank_y"))
-    both = pairs.join(ranked_x, "_x").join(ranked_y, "_y")
+    return pairs.join(ranked_x, "_x").join(ranked_y, "_y")
+
+
+def _average_rank(column: str):
+    """Mean place of a row and its equals, over all rows: for tables of a known small size."""
+    order = Window.orderBy(column)
+    upto = order.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return (F.rank().over(order) + F.count(F.lit(1)).over(upto)) / 2
+
+
+def spearman_test(pairs: DataFrame, x: str, y: str, one_task=100_000) -> DataFrame:
+    """Rank correlation of two columns with the number of pairs and its two-sided p-value.
+
+    Pairs with a NULL take no part; ties stand at their average rank. The pairs are written
+    once and counted: up to ``one_task`` of them, such as the years of a trend, are ranked
+    in one task, more by ranges. ``rho`` is NULL if a column is constant, ``p_value`` also
+    below three pairs.
+    """
+    pairs = pairs.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    pairs = materialize(pairs.select(F.col(x).alias("_x"), F.col(y).alias("_y")), "pairs")
+    if pairs.count() <= one_task:
+        both = pairs.select(_average_rank("_x").alias("_rank_x"), _average_rank("_y").alias("_rank_y"))
+    else:
+        both = _ranked_by_ranges(pairs)
     # F.corr fails on a constant column
     spread = F.sqrt(F.var_pop("_rank_x") * F.var_pop("_rank_y"))
     rho = F.try_divide(F.covar_pop("_rank_x", "_rank_y"), spread)

@@ -1,22 +1,28 @@
 """Links in a table of HTML pages."""
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _NOT_MARKUP = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 _ANCHOR_HREF = r"""(?is)<a\s+(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
-# The predefined character references.
-_ENTITIES = (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("amp", "&"))
-# Text up to a reference and the reference, if one follows.
-_PIECE = r"(?s)&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|lt|gt|quot|apos|amp);|(?:(?!&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|lt|gt|quot|apos|amp);).)+"
+# A reference, by number or by name; and text up to a reference or the reference itself.
+_REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+_PIECE = rf"(?s){_REFERENCE}|(?:(?!{_REFERENCE}).)+"
+# The names that end in a semicolon, as the standard library lists them: a reference without
+# one may as well be the start of a parameter.
+_NAMED = json.dumps({f"&{name}": text for name, text in html5.items() if name.endswith(";")})
 
 
 def decode_references(text) -> Column:
-    """Text with predefined and numeric character references decoded, each once.
+    """Text with named and numeric character references decoded, each once.
 
-    A number that is no character stays as it is written.
+    A number that is no character and a name that is not known stay as they are written.
     """
+    named = F.from_json(F.lit(_NAMED), "map<string, string>")
 
     def decoded(piece):
         digits = F.regexp_extract(piece, r"^&#[xX]?([0-9a-fA-F]+);$", 1)
@@ -25,10 +31,10 @@ def decode_references(text) -> Column:
         # four bytes at most: UTF-32 text of the code point
         character = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
         valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-        out = F.when(F.startswith(piece, F.lit("&#")) & F.endswith(piece, F.lit(";")) & valid, character)
-        for name, text_ in _ENTITIES:
-            out = out.when(piece == f"&{name};", F.lit(text_))
-        return out.otherwise(piece)
+        reference = F.startswith(piece, F.lit("&")) & F.endswith(piece, F.lit(";"))
+        number = F.startswith(piece, F.lit("&#"))
+        out = F.when(reference & number & valid, character)
+        return out.when(reference & ~number, F.coalesce(F.try_element_at(named, piece), piece)).otherwise(piece)
 
     pieces = F.regexp_extract_all(text, F.lit(_PIECE), F.lit(0))
     return F.when(~F.contains(text, F.lit("&")), text).otherwise(

@@ -133,6 +133,13 @@ def test_p_values_of_ties_perfect_and_few_pairs(spark):
     assert _test_of(spark, [(None, 2.0)]) == (None, 0, None)
 
 
+def test_both_ways_to_rank_agree(spark):
+    rows = [(i * 37 % 50, float(i * i % 23)) for i in range(400)]
+    df = spark.createDataFrame(rows, "x int, y double")
+    few, many = (trend.spearman_test(df, "x", "y", n).head() for n in (400, 399))
+    assert tuple(few) == pytest.approx(tuple(many)) and few.n == 400 and 0 < few.p_value < 1
+
+
 def test_beta_function_at_small_large_and_end_arguments(spark):
     cases = [(0.3, 1.0, 4.0, 1 - 0.7**4), (0.7, 3.0, 1.0, 0.7**3), (0.5, 2.5, 2.5, 0.5), (0.5, 40.0, 40.0, 0.5),
              (0.25, 0.5, 0.5, 1 / 3), (0.0, 2.0, 3.0, 0.0), (1.0, 2.0, 3.0, 1.0), (0.5, 1e6, 1e6, 0.5), (0.25, 2.0, 1.0, 0.0625)]

@@ -1,5 +1,7 @@
 import csv
 import gzip
+import html
+from html.entities import html5
 from html.parser import HTMLParser
 
 import pytest
@@ -22,6 +24,7 @@ from tempestry.sources import (
     write_by_year,
     write_csv,
 )
+from tempestry.sources.links import decode_references
 from tests.oracle import rows_of
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -199,3 +202,17 @@ def test_ragged_lines_are_written_by_several_tasks(spark, monkeypatch):
     rows = {r.EVENT_ID: (r.ragged, r.PLACE) for r in got.collect()}
     assert len(rows) == events.count() == got.count()
     assert all(r == (i % 5 in (1, 2), None if i % 5 == 1 else "x, y") for i, r in rows.items())
+
+
+def test_named_references_as_the_standard_library_has_them(spark):
+    names = [f"a&{n}b" for n in html5 if n.endswith(";")]
+    odd = ["&unknownname;&lt;", "&amp;lt;&amp;amp;", "&amp;#38;", "?a=1&copy=2&reg;", "&;&#;&&eacute;", "&Eacute&eacute;", None, "", "x & y;"]
+    df = spark.createDataFrame([(t,) for t in names + odd], "t string")
+    got = [r[0] for r in df.select(decode_references(F.col("t"))).collect()]
+    assert got[: len(names)] == [html.unescape(t) for t in names]
+    assert got[len(names) :] == ["&unknownname;<", "&lt;&amp;", "&#38;", "?a=1&copy=2®", "&;&#;&é", "&Eacuteé", None, "", "x & y;"]
+
+
+def test_the_names_are_one_literal(spark):
+    plan = spark.range(3).select(decode_references(F.col("id").cast("string")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan
