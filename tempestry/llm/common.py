@@ -1,5 +1,6 @@
 """Helpers of the corpus operators: reading tables, columns as bytes, Arrow output."""
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,26 +42,37 @@ def emit(schema: pa.Schema, **columns):
     )
 
 
+def _run_starts(table, keys):
+    """Places where a row's ``keys`` differ from those of the row before it."""
+    differs = np.zeros(max(0, table.num_rows - 1), dtype=bool)
+    for key in keys:
+        codes = table.column(key).combine_chunks().dictionary_encode(null_encoding="encode").indices
+        differs |= np.diff(codes.to_numpy(zero_copy_only=False)) != 0
+    return np.flatnonzero(differs) + 1
+
+
 def groups_of(batches, keys):
     """The rows of a sorted stream, cut so that no group of ``keys`` is divided.
 
     Yields tables that each hold whole groups; at most one group and one incoming
-    batch wait in memory.
+    batch wait in memory, and each row is looked at once.
     """
-    waiting = None
+    waiting, last = [], None
     for batch in batches:
         table = pa.Table.from_batches([batch])
-        if waiting is not None:
-            table = pa.concat_tables([waiting, table])
-        n = table.num_rows
-        if not n:
+        if not table.num_rows:
             continue
-        last = [table.column(k)[n - 1].as_py() for k in keys]
-        cut = n - 1
-        while cut and [table.column(k)[cut - 1].as_py() for k in keys] == last:
-            cut -= 1
-        if cut:
-            yield table.slice(0, cut)
-        waiting = table.slice(cut)
-    if waiting is not None and waiting.num_rows:
-        yield waiting
+        starts = _run_starts(table, keys)
+        first = [table.column(k)[0].as_py() for k in keys]
+        if waiting and first != last:
+            yield pa.concat_tables(waiting)
+            waiting = []
+        if len(starts):
+            cut = int(starts[-1])
+            yield pa.concat_tables([*waiting, table.slice(0, cut)])
+            waiting = []
+            table = table.slice(cut)
+        waiting.append(table)
+        last = [table.column(k)[0].as_py() for k in keys]
+    if waiting:
+        yield pa.concat_tables(waiting)

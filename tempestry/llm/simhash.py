@@ -112,23 +112,24 @@ class Forest:
 
 _EDGE = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 _MASK = (1 << BITS) - 1
+_GROUP = ("key", "shard", "block")
+#: A fingerprint in a group stands in its tree and asks it, only asks, or only stands in it.
+_BOTH, _ASKS, _STORED = range(3)
 
 
 def _tree_links(radius):
     def links(batches):
-        for table in groups_of(batches, ("key", "shard")):
-            keys = np.array(table.column("key"))
-            shards = np.array(table.column("shard"))
-            prints = np.array(table.column("print"))
-            stored = np.array(table.column("stored"))
-            cut = np.flatnonzero((keys[1:] != keys[:-1]) | (shards[1:] != shards[:-1])) + 1
-            bounds = [0, *cut.tolist(), len(keys)]
+        for table in groups_of(batches, _GROUP):
+            groups = [np.array(table.column(c)) for c in _GROUP]
+            prints, role = np.array(table.column("print")), np.array(table.column("role"))
+            cut = np.flatnonzero(np.any([g[1:] != g[:-1] for g in groups], axis=0)) + 1
+            bounds = [0, *cut.tolist(), len(prints)]
             out_a, out_b = [], []
             for a, b in zip(bounds, bounds[1:]):
-                members = prints[a:b][stored[a:b]].tolist()
+                members = prints[a:b][role[a:b] != _ASKS].tolist()
                 tree, forest = BKTree(v & _MASK for v in members), Forest()
                 signed = {v & _MASK: v for v in members}
-                for v in prints[a:b].tolist():
+                for v in prints[a:b][role[a:b] != _STORED].tolist():
                     for near in tree.within(v & _MASK, radius):
                         forest.join(v, signed[near])
                 for v in list(forest.parent):
@@ -140,11 +141,16 @@ def _tree_links(radius):
     return links
 
 
-def near_links(prints: DataFrame, radius=2, shard_size=4096) -> DataFrame:
+def near_links(prints: DataFrame, radius=2, shard_size=4096, block_size=16_384) -> DataFrame:
     """Edges ``(a, b)``, b < a, that connect all fingerprints within ``radius`` bits.
 
     ``prints`` holds distinct values in the column ``print``. Two values that differ in
     at most ``radius`` bits are connected, though maybe not by an edge of their own.
+
+    The fingerprints of a key make shards, and each asks its own shard and those after it:
+    of two the one in the earlier shard finds the other. Those that ask are dealt into
+    blocks, so a group holds about ``shard_size`` values in a tree and ``block_size`` that ask it,
+    however many fingerprints share the key.
     """
     blocks = radius + 2
     edges = [BITS * i // blocks for i in range(blocks + 1)]
@@ -160,13 +166,25 @@ def near_links(prints: DataFrame, radius=2, shard_size=4096) -> DataFrame:
     rows = prints.select("print", F.explode(F.array(*keys)).alias("key"))
     crowd = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     shards = F.ceil(F.col("n") / shard_size).cast("int")
+    parts = F.ceil(F.col("n") / block_size).cast("int")
+    home = F.pmod(F.xxhash64("print"), shards).cast("int")
+    part = F.pmod(F.xxhash64("print", F.lit(1)), parts).cast("int")
+
+    def place(shard, in_block, role):
+        return F.struct(shard.alias("shard"), in_block.alias("block"), F.lit(role).alias("role"))
+
+    own = F.array(place(F.col("home"), F.col("part"), _BOTH))
+    later = F.sequence(F.lit(0), shards - 1)
+    others = F.sequence(F.lit(0), parts - 1)
+    asks = F.transform(F.filter(later, lambda x: x > F.col("home")), lambda x: place(x, F.col("part"), _ASKS))
+    kept = F.transform(F.filter(others, lambda x: x != F.col("part")), lambda x: place(F.col("home"), x, _STORED))
     return (
         rows.join(crowd, "key")
-        .withColumn("home", F.pmod(F.xxhash64("print"), shards).cast("int"))
-        .withColumn("shard", F.explode(F.sequence(F.lit(0), shards - 1)))
-        .select("key", "shard", "print", (F.col("home") == F.col("shard")).alias("stored"))
-        .repartition("key", "shard")
-        .sortWithinPartitions("key", "shard", "print")
+        .withColumn("home", home)
+        .withColumn("part", part)
+        .select("key", "print", F.inline(F.concat(own, asks, kept)))
+        .repartition(*_GROUP)
+        .sortWithinPartitions(*_GROUP, "print")
         .mapInArrow(_tree_links(radius), "a long, b long")
     )
 

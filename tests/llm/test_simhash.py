@@ -73,14 +73,14 @@ def test_edits_near_and_far(spark):
     check(documents(spark, rows))
 
 
-@pytest.mark.parametrize("shard_size", [3, 4096])
-def test_links_find_all_pairs_in_shards_of_any_size(spark, shard_size):
+@pytest.mark.parametrize("shard_size, block_size", [(3, 16_384), (3, 5), (50, 7), (4096, 16_384)])
+def test_links_find_all_pairs_in_shards_of_any_size(spark, shard_size, block_size):
     r = random.Random(4)
     centre = r.getrandbits(64)
     values = {centre ^ sum(1 << b for b in r.sample(range(64), k)) for k in (0, 1, 1, 2, 2, 3, 5) for _ in range(12)}
     signed = sorted(v - (1 << 64) if v >> 63 else v for v in values)
     df = spark.createDataFrame([(v,) for v in signed], "print long")
-    stars = simhash.star_components(simhash.near_links(df, 2, shard_size), Scratch(spark)).collect()
+    stars = simhash.star_components(simhash.near_links(df, 2, shard_size, block_size), Scratch(spark)).collect()
     root = {r.a: r.b for r in stars}
     forest = simhash.Forest()
     for a in signed:
