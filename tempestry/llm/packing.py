@@ -18,11 +18,13 @@ import public_tokenizers
 import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tempestry.llm.common import emit
 from tempestry.session import Scratch
 
-#: Vocabulary of the registered query, as ranks; the ids are those of byte_bpe_50k.json.
+#: Vocabulary of the registered query, and the same as ranks, which is faster to use.
+TOKENIZER = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
 CAPACITY = 2048
 
@@ -32,12 +34,16 @@ class WordCache:
 
     A space that a non-space follows always starts a token, so a text may be cut there
     and equal words give equal ids. Texts with other runs of white space around spaces
-    are encoded whole.
+    are encoded whole. Texts that hold one of the tokens the tokenizer's file adds to its
+    vocabulary, such as a mark of the end, go to the tokenizer itself.
     """
 
     _whole = re.compile(r" (?:\s|$)")
 
-    def __init__(self, ranks_path, most=200_000):
+    def __init__(self, ranks_path, tokenizer_path, most=200_000):
+        self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self._added = re.compile("|".join(map(re.escape, added))) if added else None
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.encoding = tiktoken.Encoding(
@@ -51,6 +57,8 @@ class WordCache:
     def ids(self, text: str) -> bytes:
         if not text:
             return b""
+        if self._added and self._added.search(text):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         if text[0] == " " or self._whole.search(text):
             return self._encode(text)
         first, *rest = text.split(" ")
@@ -77,7 +85,7 @@ def cut(total, capacity=CAPACITY):
     return [(0, first)] + [(a, capacity) for a in range(first, total, capacity)]
 
 
-def token_pieces(docs: DataFrame, ranks_path, capacity=CAPACITY, key="doc_id") -> DataFrame:
+def token_pieces(docs: DataFrame, ranks_path, tokenizer_path, capacity=CAPACITY, key="doc_id") -> DataFrame:
     """One row per piece: key, piece, start, length, ids_crc32.
 
     The ids of a text, then id 0; a null text is empty and gives the id 0 alone.
@@ -85,7 +93,7 @@ def token_pieces(docs: DataFrame, ranks_path, capacity=CAPACITY, key="doc_id") -
     kind = docs.schema[key].dataType.simpleString()
 
     def pieces(batches):
-        cache = WordCache(ranks_path)
+        cache = WordCache(ranks_path, tokenizer_path)
         for batch in batches:
             rows, owner = [], []
             for i, text in enumerate(batch.column("text").to_pylist()):
@@ -176,7 +184,9 @@ def _places(patterns):
 _PLACED = pa.schema([("sequence_id", pa.int64()), ("offset", pa.int64())])
 
 
-def pack_documents(docs: DataFrame, ranks_path=None, capacity=CAPACITY, key="doc_id") -> DataFrame:
+def pack_documents(
+    docs: DataFrame, ranks_path=None, capacity=CAPACITY, key="doc_id", tokenizer_path=None
+) -> DataFrame:
     """One row per piece: key, piece, start, length, ids_crc32, sequence_id, offset.
 
     Documents of more than ``capacity`` ids are cut into pieces of that length, the first
@@ -186,9 +196,10 @@ def pack_documents(docs: DataFrame, ranks_path=None, capacity=CAPACITY, key="doc
     """
     spark = docs.sparkSession
     ranks_path = ranks_path or public_tokenizers.path(RANKS)
+    tokenizer_path = tokenizer_path or public_tokenizers.path(TOKENIZER)
     scratch = Scratch(spark)
     pieces = scratch.save(
-        token_pieces(docs, ranks_path, capacity, key).withColumn("part", F.spark_partition_id()),
+        token_pieces(docs, ranks_path, tokenizer_path, capacity, key).withColumn("part", F.spark_partition_id()),
         "pieces",
     )
     parts = scratch.save(pieces.groupBy("length", "part").agg(F.count("*").alias("n")), "parts")

@@ -11,22 +11,23 @@ from tempestry.llm import packing
 from tests.llm.cases import SF, awkward, documents, empty
 
 RANKS = public_tokenizers.path(packing.RANKS)
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(TOKENIZER)
 
 
-ODD = ["", " ", "  ", "a", " a", "a ", "a  b", "a\n b", "a\n  b", "a \nb", "x\n \ny", "it's  'tis 'll", "\x1c a \x1cb", "\xa0 é  z", "<|endoftext|> x",
+ODD = ["", " ", "  ", "a", " a", "a ", "a  b", "a\n b", "a\n  b", "a \nb", "x\n \ny", "it's  'tis 'll", "\x1c a \x1cb", "\xa0 é  z", "<|endoftext|> x", "a <|endoftext|> b", "a<|endoftext|><|endoftext|>\n  c d", "<|endoftext|", "x <|endoftext |> y",
        "12 345,6", "tab\t tab", "　 wide", "日本語 テキスト", "a\r\n\r\n b", "😀 😀😀", "x" * 3000, " ." * 50, "don't can't"]
 
 
 def test_ids_are_those_of_the_tokenizer(tokenizer):
-    cache, r = packing.WordCache(RANKS, most=50), random.Random(1)
-    texts = ODD + ["".join(r.choice([" ", "\n", "a", "b'", "s ", "é", "1", ".", "\t", "\xa0", "the"]) for _ in range(40)) for _ in range(800)]
+    cache, r = packing.WordCache(RANKS, TOKENIZER, most=50), random.Random(1)
+    parts = [" ", "\n", "a", "b'", "s ", "é", "1", ".", "\t", "\xa0", "the"]
+    texts = ODD + ["".join(r.choice(parts) for _ in range(40)) for _ in range(800)]
+    texts += ["".join(r.choice([*parts, "<|endoftext|>", "<|end", "oftext|>"]) for _ in range(20)) for _ in range(400)]
     for text in texts:
         assert np.frombuffer(cache.ids(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
