@@ -2,7 +2,8 @@
 
 Source and configuration text is read as statements that bind a name to literals or to
 other names. Values travel through names that were bound before, and a literal is
-scored by the name it ends up under. These spans are added to the plain patterns.
+scored by the name it ends up under and by itself. These spans are added to the plain
+patterns.
 """
 
 import hashlib
@@ -27,14 +28,21 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 #: Kinds in the order in which spans of one start are listed.
 KINDS = ("assign", "access", "hex", "lexed")
 
-# One pass over names, quoted literals, numbers and operators; comments are skipped.
+# One pass over names, literals and operators. What opens a comment ends a statement, and
+# the comment is read like any other text: a secret in it is one.
 _TOKEN = re.compile(
     r"""(?P<name>[A-Za-z_][A-Za-z0-9_.\-]*)
-      | (?P<quoted>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')
+      | (?P<quoted>"(?:[^"\\\n]|\\[\s\S])*"|'(?:[^'\\\n]|\\[\s\S])*'|`(?:[^`\\\n]|\\[\s\S])*`)
+      | (?P<subscript>\[[\x20\t]*(?:"[^"\\\n]*"|'[^'\\\n]*')[\x20\t]*\])
+      | (?P<heredoc><<[\-~]?[\x20\t]*(?P<q>["']?)(?P<word>[A-Za-z_][A-Za-z0-9_]*)(?P=q)[^\n]*\n)
+      | (?P<block>[|>][+\-0-9]*[\x20\t]*\n)
       | (?P<bind>:=|=>|==|!=|<=|>=|=|:)
       | (?P<plus>\+|\.\.)
-      | (?P<end>[\n;,{}()\[\]])
-      | (?P<gap>[\x20\t]+)
+      | (?P<gap>[\x20\t]+|\\\r?\n)
+      | (?P<line>\n)
+      | (?P<open>\()
+      | (?P<close>\))
+      | (?P<end>[;,{}\[\]])
       | (?P<other>.)""",
     re.VERBOSE,
 )
@@ -43,13 +51,17 @@ _SETTING = re.compile(
     r"^[\x20\t]*(?:export[\x20\t]+|set[\x20\t]+)?([A-Za-z_][A-Za-z0-9_.\-]*)[\x20\t]*[=:][\x20\t]*([^\s\"'#;,]+)[\x20\t]*$",
     re.MULTILINE,
 )
+# A bare value that may be a name or a word is none.
+_WORD = re.compile(r"[A-Za-z_][A-Za-z_.\-]*")
+_ELEMENT = re.compile(r"<([A-Za-z_][\w.:\-]*)(?:\s[^<>]*)?>\s*([^<>\s](?:[^<>]*[^<>\s])?)\s*</\1\s*>")
+_PAIR = re.compile(r"""\b(?:key|name)\s*=\s*["']([^"'<>\n]+)["']\s+value\s*=\s*["']([^"'<>\n]+)["']""", re.I)
 #: Name parts and how much they say that the value is secret.
 SENSITIVE = {
-    "password": 3, "passwd": 3, "pwd": 3, "passphrase": 3, "secret": 3, "token": 3,
+    "password": 3, "passwd": 3, "pwd": 3, "pass": 3, "passphrase": 3, "secret": 3, "token": 3,
     "credential": 3, "credentials": 3, "apikey": 3, "privatekey": 3, "accesskey": 3,
     "authkey": 3, "auth": 2, "private": 2, "access": 1, "api": 1, "key": 1, "bearer": 2,
 }
-_HINT = re.compile(r"passw|pwd|passphrase|secret|token|credential|api|key|auth|private|bearer", re.I | re.A)
+_HINT = re.compile(r"pass|pwd|secret|token|credential|api|key|auth|private|bearer", re.I | re.A)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 
 
@@ -60,57 +72,150 @@ def name_score(name):
     return score + sum(SENSITIVE.get(a + b, 0) for a, b in zip(parts, parts[1:]))
 
 
-def literal_score(value):
+class Value:
+    """A literal of the text, or other values one after the other.
+
+    Values are shared, so a name that holds another twice over, line after line, takes as
+    much memory as its lines do; what it would read is never built.
+    """
+
+    __slots__ = ("span", "parts", "measure")
+
+    def __init__(self, span=None, parts=()):
+        self.span, self.parts, self.measure = span, parts, None
+
+
+#: Lengths beyond this count as this.
+_LONG = 1e15
+
+
+def _measured(text, value):
+    """Length, shares of the characters, and whether any is white space; kept at the value."""
+    waiting = [value]
+    while waiting:
+        at = waiting[-1]
+        if at.measure is not None:
+            waiting.pop()
+        elif at.span is not None:
+            literal = text[slice(*at.span)]
+            n = len(literal)
+            at.measure = n, {c: k / n for c, k in Counter(literal).items()}, any(c.isspace() for c in literal)
+        elif below := [p for p in at.parts if p.measure is None]:
+            waiting += below
+        else:
+            known = [p.measure for p in at.parts]
+            n = sum(m[0] for m in known)
+            shares = Counter()
+            for length, part, _ in known:
+                for c, share in part.items():
+                    shares[c] += share * length / n
+            at.measure = min(n, _LONG), dict(shares), any(m[2] for m in known)
+    return value.measure
+
+
+def literal_score(length, shares, spaced):
     """How much a literal looks random: its length, its entropy and its digits."""
-    if len(value) < 8 or any(c.isspace() for c in value):
+    if length < 8 or spaced:
         return 0.0
-    total = len(value)
-    entropy = -sum(n / total * math.log2(n / total) for n in Counter(value).values())
-    mixed = any(c.isdigit() for c in value) + any(c.isalpha() for c in value)
+    entropy = -sum(p * math.log2(p) for p in shares.values() if p > 0)
+    mixed = any(c.isdigit() for c in shares) + any(c.isalpha() for c in shares)
     return entropy if mixed == 2 else entropy - 1.5
 
 
-def _secret(name, value):
+#: What a literal has to score by itself, whatever its name.
+FLOOR = 1.5
+
+
+def _secret(text, name, value):
     weight = name_score(name)
-    return weight >= 2 and weight + literal_score(value) >= 5.5
+    if weight < 2:
+        return False
+    score = literal_score(*_measured(text, value))
+    return score >= FLOOR and weight + score >= 5.5
+
+
+def _indented(text, start, line_start):
+    """Where the lines from ``start`` end that are indented further than the line before them."""
+    depth = len(text[line_start:start]) - len(text[line_start:start].lstrip(" \t"))
+    end = start
+    while end < len(text):
+        stop = text.find("\n", end)
+        stop = len(text) if stop < 0 else stop + 1
+        line = text[end:stop]
+        if line.strip() and len(line) - len(line.lstrip(" \t")) <= depth:
+            break
+        end = stop
+    return end
+
+
+def _lines(text, start, end):
+    """The lines of a block as literals, without the white space around them."""
+    out, at = [], start
+    for line in text[start:end].splitlines(keepends=True):
+        inner = line.strip()
+        if inner:
+            a = at + line.index(inner)
+            out.append(Value((a, a + len(inner))))
+        at += len(line)
+    return out
 
 
 def bindings(text):
-    """``(name, value, spans)`` of the statements, names replaced by what they stand for.
+    """``(name, Value)`` of the statements, names replaced by what they stand for.
 
-    A value is a sequence of literals and known names joined by ``+`` (or standing side
-    by side); its spans are those of the literals it is made of.
+    A value is a sequence of literals and known names joined by ``+`` or standing side by
+    side, over lines after a ``+``, a backslash or inside a bracket. Subscripts and quoted
+    keys are names, as are those with a type before the ``=``. Each line of an indented
+    block or a here-document is bound by itself.
     """
     known, out = {}, []
-    name = bound = None
-    parts = []
+    name = bound = typed = None
+    parts, inside, joined, at = [], False, False, 0
 
     def close():
-        nonlocal name, bound, parts
+        nonlocal name, bound, typed, parts, inside
         if bound is not None and parts:
-            value = "".join(v for v, _ in parts)
-            spans = [s for _, found in parts for s in found]
-            known[bound] = (value, spans)
-            out.append((bound, value, spans))
-        name, bound, parts = None, None, []
-
-    for m in _TOKEN.finditer(text):
-        kind = m.lastgroup
-        if kind == "gap" or kind == "plus":
+            value = parts[0] if len(parts) == 1 else Value(parts=tuple(parts))
+            known[bound] = value
+            out.append((bound, value))
+        name, bound, typed, parts, inside = None, None, None, [], False
+
+    while at < len(text) and (m := _TOKEN.match(text, at)):
+        kind, at = m.lastgroup, m.end()
+        if kind in ("q", "word"):
+            kind = "heredoc"
+        if kind == "gap" or (kind == "line" and (inside or joined)):
             continue
-        if kind == "end" or kind == "other":
-            close()
+        joined = kind == "plus" and bound is not None
+        if kind == "open" and bound is not None and not parts:
+            inside = True
         elif kind == "bind":
-            if m.group() in ("=", ":", ":=", "=>") and name is not None and not parts:
-                bound = name
+            if m.group() in ("=", ":", ":=", "=>") and name is not None and not parts and bound is None:
+                bound = typed if typed is not None and m.group() == "=" else name
+                typed = bound if m.group() == ":" else None
             else:
                 close()
         elif kind == "quoted":
             inner = (m.start() + 1, m.end() - 1)
             if bound is None:
-                name = text[inner[0] : inner[1]]  # a quoted key
+                name = text[slice(*inner)]  # a quoted key
             else:
-                parts.append((text[inner[0] : inner[1]], [inner]))
+                parts.append(Value(inner))
+        elif kind == "subscript" and bound is None:
+            name = m.group().strip("[] \t")[1:-1]
+        elif kind in ("block", "heredoc") and bound is not None and not parts:
+            if kind == "block":
+                end = _indented(text, at, text.rfind("\n", 0, m.start()) + 1)
+            else:
+                stop = re.compile(rf"^[\x20\t]*{m.group('word')}\b", re.MULTILINE).search(text, at)
+                end = stop.start() if stop else at
+            out += [(bound, line) for line in _lines(text, at, end)]
+            at = max(at, end)
+            close()
+        elif kind == "plus":
+            pass
+        elif kind != "name":
+            close()
         elif bound is None:
             name = m.group()
         elif m.group() in known:
@@ -119,8 +224,13 @@ def bindings(text):
             close()  # prose goes on after a literal
             name = m.group()
         else:
-            name, bound = m.group(), None
+            name, bound = m.group(), None  # maybe a type
     close()
+    for m in (*_ELEMENT.finditer(text), *_PAIR.finditer(text)):
+        out.append((m.group(1), Value(m.span(2))))
+    for m in _SETTING.finditer(text):
+        if not _WORD.fullmatch(m.group(2)):
+            out.append((m.group(1), Value(m.span(2))))
     return out
 
 
@@ -140,10 +250,19 @@ def base_spans(text):
 
 def lexed_spans(text, found):
     """Literals bound to sensitive names that no span of ``found`` holds already."""
-    if not _HINT.search(text) or not ("=" in text or ":" in text):
+    if not _HINT.search(text) or not ("=" in text or ":" in text or "</" in text):
         return []
-    spans = {s for name, value, where in bindings(text) if _secret(name, value) for s in where}
-    spans |= {m.span(2) for m in _SETTING.finditer(text) if _secret(m.group(1), m.group(2))}
+    waiting = [value for name, value in bindings(text) if _secret(text, name, value)]
+    seen, spans = set(), set()
+    while waiting:
+        value = waiting.pop()
+        if id(value) in seen:
+            continue
+        seen.add(id(value))
+        if value.span is None:
+            waiting += value.parts
+        elif value.span[0] < value.span[1]:
+            spans.add(value.span)
     return sorted(
         (a, 3, b) for a, b in spans if not any(x <= a and b <= y for x, _, y in found)
     )

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import pytest
 
@@ -65,6 +66,27 @@ def lexed(text):
         ('author = "somebodyelse1"', []),
         ('key == "Zq81kd93jfLm"', []),
         ('password = "spaces in here do not count"', []),
+        ('DB_PASS = "hunter22x!9Qz"', ["hunter22x!9Qz"]),
+        ('conf["db_credential"] = "hunter22x!9Qz"', ["hunter22x!9Qz"]),
+        ("os.environ['AUTH_KEY']=`Qw3rTy7Ui8Op9As`", ["Qw3rTy7Ui8Op9As"]),
+        ('auth_key = "Zq81kd93" \\\n  "jfLm2xPw"', ["Zq81kd93", "jfLm2xPw"]),
+        ('auth_key = ("Zq81kd93"\n  "jfLm2xPw")\nnext = "Zq81kd93x"', ["Zq81kd93", "jfLm2xPw"]),
+        ('auth_key = "Zq81kd93" +\n  "jfLm2xPw"', ["Zq81kd93", "jfLm2xPw"]),
+        ('auth_key = "Zq81kd93\\\njfLm2xPw"', []),  # holds white space
+        ("private_key: |\n  MIIEpAIBAAKCAQEA7x\n  Qw3rTy7Ui8Op9As4Df\nname: Qw3rTy7Ui8Op9As4Df", ["MIIEpAIBAAKCAQEA7x", "Qw3rTy7Ui8Op9As4Df"]),
+        ("private_key=<<'END'\nMIIEpAIBAAKCAQEA7x\nEND\nname = 'MIIEpAIBAAKCAQEA7x'", ["MIIEpAIBAAKCAQEA7x"]),
+        ("<cfg><dbPwd>Qw3rTy7Ui8Op9As</dbPwd><size>Qw3rTy7Ui8Op9As</size></cfg>", ["Qw3rTy7Ui8Op9As"]),
+        ('<add key="dbPwd" value="Qw3rTy7Ui8Op9As"/>', ["Qw3rTy7Ui8Op9As"]),
+        ('auth_key: str = "Qw3rTy7Ui8Op9As"', ["Qw3rTy7Ui8Op9As"]),
+        ('authKey = x  # "Zq81kd93jfLm"', []),
+        ('size = 4  // authKey = "Zq81kd93jfLm"', ["Zq81kd93jfLm"]),
+        ("authKey = None", []),
+        ("authKey = config", []),
+        ("authKey = configuration.production", []),
+        ("privateKey: required", []),
+        ('private_key = ""', []),
+        ('private_key = "required"', []),
+        ('private_key = "" + ""\nprivate_key_2 = private_key', []),
     ],
 )
 def test_assignments(text, want):
@@ -83,3 +105,21 @@ def test_redaction(spark):
     assert {(r.doc_id, r.text, r.n_chars) for r in got.collect()} == {
         (1, 'a [secret]" b', 13), (2, None, None), (3, "clean", 5), (None, "pwd = '[secret]' end", 20),
     }
+
+
+def test_values_that_double_or_grow_line_by_line():
+    text = 'secret_a = "Zq81kd93jfLm"\n' + "secret_a = secret_a + secret_a\n" * 60
+    start = time.time()
+    spans, _ = secret_scan.scan(text)
+    assert [text[a:b] for a, _, b in spans if text[a:b].startswith("Zq")] == ["Zq81kd93jfLm"]
+    text = 'v0 = "Zq81kd93jfLm"\n' + "".join(f"v{i + 1} = v{i} + 'x{i}'\n" for i in range(5000)) + "auth_key = v5000"
+    spans, _ = secret_scan.scan(text)
+    assert len(spans) == 5001 and time.time() - start < 20
+    text = 'a = "Zq81kd93jfLm"\n' + "a = a + a + a\n" * 3000 + "auth_key = a\n" * 3000
+    assert lexed(text) == ["Zq81kd93jfLm"]
+
+
+def test_marks_take_no_empty_span():
+    for text in ('private_key = ""', "auth_key = ''\nauth_key = ``", 'auth_key = "" "Zq81kd93jfLm9"'):
+        assert all(a < b for a, _, b in secret_scan.scan(text)[0])
+    assert secret_scan.redact('private_key = ""') == 'private_key = ""'
