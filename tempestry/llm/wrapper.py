@@ -1,10 +1,12 @@
 """Main text of web pages by wrapper induction.
 
-Pages of one host are aligned with a page of that host by simple tree matching. Over all
-pages of the host, nodes whose text stays the same become template and nodes whose text
-varies become slots; all slots together are the main text. Parts that their own tag or
+Pages of one host are clustered by their shape, the parts that stand side by side where the
+page first branches, and each is aligned with a page of its shape by simple tree matching.
+Over all pages of a shape, nodes whose text stays the same become template and nodes whose
+text varies become slots; all slots together are the main text. Parts that their own tag or
 class calls navigation, advert, comment and the like are never prose, but the names of
-an element that holds the article do not count.
+an element that holds the article do not count, nor do names inside an article that may as
+well be those of its subject.
 """
 
 import html as entities
@@ -16,7 +18,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 from pyspark.sql.types import StringType
@@ -61,6 +63,8 @@ APART_WORDS = re.compile(
     r"|comment|comments|commentlist|disqus|respond|reply|replies|form|search|login|signup|subscribe|newsletter|share|social|related"
     r"|breadcrumb[a-z]*|pagination|pager|widget|toolbar|skip)(?:$|[^a-z])"
 )
+#: Those of them that inside an article may be its subject: there the alignment decides.
+SUBJECT_WORDS = re.compile(r"(?<![a-z])(?:alert|share|search|social|related|widget|popup|modal|skip|reply|login)(?![a-z])")
 #: Names of the readers' discussion, which may be longer than the article.
 DISCUSSION = re.compile(r"(?:^|\.)(?:comments?|commentlist|disqus|respond|reply|replies)(?:$|[-_.])")
 
@@ -139,6 +143,13 @@ def always_apart(label):
     return tag in APART and tag != "form" or "#hidden" in names
 
 
+@lru_cache(10_000)
+def maybe_subject(label):
+    """Whether an element named apart would not be without names that may be a subject."""
+    tag, _, names = label.partition(".")
+    return tag != "form" and not APART_WORDS.search(SUBJECT_WORDS.sub("-", names))
+
+
 def apart(label):
     """Whether an element of this label is no prose by its own word."""
     return always_apart(label) or named_apart(label)
@@ -147,15 +158,16 @@ def apart(label):
 def apart_all(labels, parents, trusted=()):
     """Which elements are apart, by their own word or that of one around them.
 
-    A header is apart unless an article or main element holds it. The names of
-    ``trusted`` elements do not count.
+    A header is apart unless an article or main element holds it, and so are names that
+    may be a subject. The names of ``trusted`` elements do not count.
     """
     out, inside = [False] * len(labels), [False] * len(labels)
     for i in range(1, len(labels)):
         up, label = parents[i], labels[i]
         tag = label.partition(".")[0]
         inside[i] = inside[up] or tag in ("article", "main")
-        own = always_apart(label) or (named_apart(label) and i not in trusted)
+        named = named_apart(label) and i not in trusted and not (inside[up] and maybe_subject(label))
+        own = always_apart(label) or named
         out[i] = out[up] or own or (tag == "header" and not inside[up])
     return out
 
@@ -314,7 +326,59 @@ def shape(labels, parents):
     return tuple(labels), tuple(parents)
 
 
-_SEEN = pa.schema([("host", pa.string()), ("node", pa.int32()), ("digest", pa.int64()), ("n", pa.int64())])
+def signature(labels, parents):
+    """The shape of a page: the labels, each once, where its body first branches.
+
+    Parts of one label count once, so the length of an article or a list does not matter.
+    """
+    below, at = _children(parents), 0
+    for i, label in enumerate(labels):
+        if label.partition(".")[0] == "body":
+            at = i
+            break
+    path = []
+    while len(kinds := {labels[k] for k in below[at]}) == 1 and len(below[at]) == 1:
+        path += kinds
+        at = below[at][0]
+    return xxhash.xxh64_intdigest("\n".join([*path, "", *sorted(kinds)])) >> 1
+
+
+_SHAPES = pa.schema([("host", pa.string()), ("shape", pa.int64()), ("n", pa.int64()), ("first", pa.int64())])
+
+
+def _shapes(batches):
+    """Shapes of the pages of each host, added up for each batch, with their smallest digest."""
+    for batch in batches:
+        seen = {}
+        for host, page, digest in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "digest"))):
+            key = host, signature(*parse(page)[:2])
+            n, first = seen.get(key, (0, digest))
+            seen[key] = n + 1, min(first, digest)
+        if seen:
+            rows = [(*key, *value) for key, value in seen.items()]
+            yield emit(_SHAPES, **dict(zip(_SHAPES.names, zip(*rows))))
+
+
+def _by_host(batch, known):
+    """The templates of each row's host, converted once for each host of a batch."""
+    hosts, column = batch.column("host").to_pylist(), batch.column("templates")
+    known.clear()
+    for i, host in enumerate(hosts):
+        if host not in known:
+            known[host] = [(t["shape"], shape(t["labels"], t["parents"])) for t in column[i].as_py()]
+    return hosts
+
+
+def _template_of(templates, labels, parents):
+    """Place and tree of the template of a page: that of its shape, or else the first."""
+    own = signature(labels, parents) if len(templates) > 1 else None
+    at = next((i for i, (kind, _) in enumerate(templates) if kind == own), 0)
+    return at, templates[at][1]
+
+
+_SEEN = pa.schema(
+    [("host", pa.string()), ("template", pa.int32()), ("node", pa.int32()), ("digest", pa.int64()), ("n", pa.int64())]
+)
 
 
 def _observe(batches):
@@ -323,11 +387,12 @@ def _observe(batches):
     Node -1 stands for the prose of the whole page. Text of a node that the template
     lacks is a slot of its page and is not counted.
     """
+    known = {}
     for batch in batches:
         seen = {}
-        for host, page, labels, parents in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "labels", "parents"))):
+        for host, page in zip(_by_host(batch, known), batch.column("html").to_pylist()):
             pl, pp, blocks = parse(page)
-            template = tuple(labels), tuple(parents)
+            at, template = _template_of(known[host], pl, pp)
             to = align(template, shape(pl, pp))
             off, texts = apart_all(pl, pp, holding(pl, pp, blocks)), {-1: []}
             never = apart_all(pl, pp, range(len(pl)))
@@ -337,7 +402,7 @@ def _observe(batches):
                 if not never[node] and to[node] >= 0:
                     texts.setdefault(to[node], []).append(text)
             for node, parts in texts.items():
-                key = host, node, xxhash.xxh64_intdigest(" ".join(parts)) >> 1
+                key = host, at, node, xxhash.xxh64_intdigest(" ".join(parts)) >> 1
                 seen[key] = seen.get(key, 0) + 1
         if seen:
             columns = [*zip(*seen), tuple(seen.values())]
@@ -347,32 +412,40 @@ def _observe(batches):
 _KEPT = pa.schema([("text", pa.string()), ("n_chars", pa.int64())])
 
 
-def main_text(page, template, constant):
-    """Main text of a page: its blocks in order that are neither template nor apart, one space between."""
+def main_text(page, templates, constants):
+    """Main text of a page: its blocks in order that are neither template nor apart, one space between.
+
+    ``templates`` pairs shapes with trees; ``constants`` has the constant nodes of each.
+    """
     labels, parents, blocks = parse(page)
+    at, template = _template_of(templates, labels, parents)
     to = align(template, shape(labels, parents))
-    blocks = [(node, text) for node, text in blocks if to[node] not in constant]
+    blocks = [(node, text) for node, text in blocks if to[node] not in constants[at]]
     off = apart_all(labels, parents, holding(labels, parents, blocks))
     return " ".join(text for node, text in blocks if not off[node])
 
 
 def _extract(batches):
+    known = {}
     for batch in batches:
-        names = ("html", "labels", "parents", "constant")
-        texts = [
-            main_text(page, (tuple(labels), tuple(parents)), frozenset(constant))
-            for page, labels, parents, constant in zip(*(batch.column(c).to_pylist() for c in names))
-        ]
+        hosts, texts, constants = _by_host(batch, known), [], {}
+        for i, (host, page) in enumerate(zip(hosts, batch.column("html").to_pylist())):
+            if host not in constants:
+                constants[host] = [frozenset(c or ()) for c in batch.column("constant")[i].as_py()]
+            texts.append(main_text(page, known[host], constants[host]))
         out = emit(_KEPT, text=texts, n_chars=[len(t) for t in texts])
         own = [batch.column(c) for c in ("page_id", "url")]
         yield pa.RecordBatch.from_arrays([*own, *out.columns], names=["page_id", "url", *_KEPT.names])
 
 
 def _templates(batches):
-    schema = pa.schema([("host", pa.string()), ("labels", pa.list_(pa.string())), ("parents", pa.list_(pa.int32()))])
+    schema = pa.schema(
+        [("host", pa.string()), ("shape", pa.int64()), ("place", pa.int32()), ("labels", pa.list_(pa.string())), ("parents", pa.list_(pa.int32()))]
+    )
     for batch in batches:
         trees = [parse(page)[:2] for page in batch.column("html").to_pylist()]
-        yield emit(schema, host=batch.column("host"), labels=[t[0] for t in trees], parents=[t[1] for t in trees])
+        own = {c: batch.column(c) for c in ("host", "shape", "place")}
+        yield emit(schema, **own, labels=[t[0] for t in trees], parents=[t[1] for t in trees])
 
 
 @pandas_udf(StringType())
@@ -380,37 +453,45 @@ def _hosts(urls: pd.Series) -> pd.Series:
     return urls.map(lambda u: host_and_path(u)[0])
 
 
-def wrappers(pages: DataFrame, scratch: Scratch, same=0.8, least=3) -> DataFrame:
-    """One row per host: its template tree and constant nodes.
+def wrappers(pages: DataFrame, scratch: Scratch, same=0.8, least=3, own=10, most=16) -> DataFrame:
+    """One row per host: its template trees by shape and the constant nodes of each.
 
-    ``pages`` has host and html. The template is the page with the smallest hash. A node
-    is constant if one text stands there on a share of at least ``same`` of the host's pages, of which there
-    are ``least``, and on more of them than copies of one page would explain. All pages are observed; what
-    they show is added up before it is shuffled.
+    ``pages`` has host and html. The most common shape of a host has a template, and so have
+    others of at least ``own`` pages, up to ``most`` in all; pages of other shapes go by the most
+    common one. A template is the page of its shape with the smallest hash. A node is constant
+    if one text stands there on a share of at least ``same`` of the template's pages, of which
+    there are ``least``, and on more of them than copies of one page would explain. All pages
+    are observed; what they show is added up before it is shuffled.
     """
-    digest = F.xxhash64("html")
-    first = scratch.save(pages.groupBy("host").agg(F.min(digest).alias("first")), "first")
+    pages = pages.withColumn("digest", F.xxhash64("html"))
+    shapes = pages.mapInArrow(_shapes, "host string, shape long, n long, first long").groupBy("host", "shape")
+    shapes = shapes.agg(F.sum("n").alias("n"), F.min("first").alias("first"))
+    order = Window.partitionBy("host").orderBy(F.desc("n"), "shape")
+    place = F.row_number().over(order) - 1
+    chosen = shapes.withColumn("place", place).where((F.col("place") == 0) | ((F.col("n") >= own) & (F.col("place") < most)))
+    chosen = scratch.save(chosen.select("host", "shape", "place", F.col("first").alias("digest")), "chosen")
     seeds = (
-        pages.select("host", "html", digest.alias("first"))
-        .join(first, ["host", "first"], "left_semi")
-        .dropDuplicates(["host"])
-        .select("host", "html")
-        .mapInArrow(_templates, "host string, labels array<string>, parents array<int>")
+        pages.join(chosen, ["host", "digest"])
+        .dropDuplicates(["host", "shape"])
+        .select("host", "shape", "place", "html")
+        .mapInArrow(_templates, "host string, shape long, place int, labels array<string>, parents array<int>")
+        .groupBy("host")  # at most ``most`` rows
+        .agg(F.sort_array(F.collect_list(F.struct("place", "shape", "labels", "parents"))).alias("templates"))
     )
     seeds = scratch.save(seeds, "templates")
     seen = (
-        pages.join(seeds, "host")
-        .mapInArrow(_observe, "host string, node int, digest long, n long")
-        .groupBy("host", "node", "digest")
+        pages.select("host", "html").join(seeds, "host")
+        .mapInArrow(_observe, "host string, template int, node int, digest long, n long")
+        .groupBy("host", "template", "node", "digest")
         .agg(F.sum("n").alias("n"))
-        .groupBy("host", "node")
+        .groupBy("host", "template", "node")
         .agg(F.sum("n").alias("pages"), F.max("n").alias("top"))
-        .groupBy("host")  # at most one row per node of the template
+        .groupBy("host", "template")  # at most one row per node of the template
         .agg(F.collect_list(F.struct("node", "pages", "top")).alias("seen"))
-    )
+    )
 
     def decide(batches):
-        schema = pa.schema([("host", pa.string()), ("constant", pa.list_(pa.int32()))])
+        schema = pa.schema([("host", pa.string()), ("template", pa.int32()), ("nodes", pa.list_(pa.int32()))])
         for batch in batches:
             rows = []
             for found in batch.column("seen").to_pylist():
@@ -420,10 +501,14 @@ def wrappers(pages: DataFrame, scratch: Scratch, same=0.8, least=3) -> DataFrame
                     if x["node"] >= 0 and whole["pages"] >= least
                     and x["top"] >= same * whole["pages"] and x["top"] > whole["top"]
                 ))
-            yield emit(schema, host=batch.column("host"), constant=rows)
+            yield emit(schema, host=batch.column("host"), template=batch.column("template"), nodes=rows)
 
-    decided = seen.mapInArrow(decide, "host string, constant array<int>")
-    return scratch.save(seeds.join(scratch.save(decided, "decided"), "host"), "wrappers")
+    decided = scratch.save(seen.mapInArrow(decide, "host string, template int, nodes array<int>"), "decided")
+    by_place = decided.groupBy("host").agg(
+        F.map_from_entries(F.collect_list(F.struct("template", "nodes"))).alias("found")
+    )
+    places = F.transform("templates", lambda t: F.try_element_at("found", t["place"]))
+    return scratch.save(seeds.join(by_place, "host").select("host", "templates", places.alias("constant")), "wrappers")
 
 
 def extract_text(pages: DataFrame) -> DataFrame:

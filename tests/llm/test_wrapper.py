@@ -183,4 +183,50 @@ def test_parts_longer_than_an_article_stay_apart():
     for part in ("<div class='sidebar'>{}</div>", "<div class='ad'>{}</div>", "<section class='comment-list'>{}</section>", "<form>{}</form>"):
         html = "<main><article><p>Short.</p></article>" + part.format(prose(1, 500)) + "</main>"
         labels, parents, _ = wrapper.parse("")
-        assert wrapper.main_text(html, (tuple(labels), tuple(parents)), frozenset()) == "Short."
+        assert wrapper.main_text(html, [(0, (tuple(labels), tuple(parents)))], [frozenset()]) == "Short."
+
+
+def test_one_odd_page_does_not_decide_for_its_host(spark):
+    """Whatever page has the smallest hash: the template is a page of the common shape."""
+    def story(i, k):
+        return f"<body><div>The Daily {k}</div><div><p>{prose(i, 30)}</p></div><div>Imprint of {k}</div></body>"
+
+    rows = [(100 * k + i, f"http://{k}.org/{i}", story(100 * k + i, k)) for k in range(12) for i in range(12)]
+    rows += [(100 * k + 50, f"http://{k}.org/x", f"<body><h1>Error {k}</h1><pre>not found</pre></body>") for k in range(12)]
+    got = texts(spark, rows)
+    for i, _, _ in rows:
+        assert got[i] == (f"Error {i // 100} not found" if i % 100 == 50 else prose(i, 30))
+
+
+def test_shapes_of_a_host_have_templates_of_their_own(spark):
+    def story(i):
+        return f"<body><div>Daily</div><section><p>{prose(i, 30)}</p></section><div>Imprint</div></body>"
+
+    def blog(i):
+        return f"<body><table><tr><td>Blog of the week<td>{prose(i, 30)}</table><p>Thanks for reading</p></body>"
+
+    rows = [(i, f"http://two.org/{i}", (blog if i % 3 == 0 else story)(i)) for i in range(60)]
+    got = texts(spark, rows)
+    assert got == {i: prose(i, 30) for i in range(60)}
+
+
+def test_names_inside_an_article_that_may_be_its_subject(spark):
+    def page_of(i):
+        parts = "".join(f"<div class='{c}'>{c} {prose(i * 7 + k, 12)}</div>" for k, c in enumerate(("alert", "share-price", "search-results")))
+        apart = f"<div class='ad'>Buy {i}!</div><div class='share'>Share this</div><div class='cookie-alert'>Take {i}</div>"
+        side = f"<div class='alert'>Offer {i}</div><div class='search-results'>Find {i}</div>"
+        return f"<body>{side}<article><h1>Head {i}</h1>{parts}{apart}<p>{prose(i, 30)}</p></article></body>"
+
+    got = texts(spark, [(i, f"http://s.org/{i}", page_of(i)) for i in range(8)])
+    for i in range(8):
+        inner = [f"{c} {prose(i * 7 + k, 12)}" for k, c in enumerate(("alert", "share-price", "search-results"))]
+        assert got[i] == " ".join([f"Head {i}", *inner, prose(i, 30)])
+
+
+def test_signatures_see_kinds_of_parts_and_not_their_number():
+    sign = lambda html: wrapper.signature(*wrapper.parse(html)[:2])
+    one = sign("<body><div id=x><nav>a</nav><article><p>b</article></div></body>")
+    assert one == sign("<head><title>t</title></head><body><div id=x><nav>a</nav><article><p>b<p>c<ul><li>d</ul></article><article>e</article></div></body>")
+    assert one != sign("<body><div id=y><nav>a</nav><article><p>b</article></div></body>")
+    assert one != sign("<body><div id=x><nav>a</nav><article><p>b</article><footer>f</footer></div></body>")
+    assert sign("") == sign("text") and sign("<body>" + "<div>" * 300) != sign("")
