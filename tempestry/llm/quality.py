@@ -115,7 +115,8 @@ def fit(counts, rounds=50, strength=2.0):
     to the number of rules of them, whatever the number of documents. Each rule has a
     probability of voting good, given that it votes, for good and for bad documents; a
     prior worth ``strength`` votes of 0.9 and 0.5 keeps both sides in their places, and a rule
-    never counts as worse than a coin.
+    never counts as worse than a coin. The share of good documents is learnt too and may be
+    small.
     """
     patterns = sorted(counts)
     if not patterns:
@@ -126,7 +127,8 @@ def fit(counts, rounds=50, strength=2.0):
     # a document starts as good unless a rule calls it bad
     posterior = np.where(bad.any(axis=1), np.where(bad.sum(axis=1) > 1, 0.05, 0.3), 0.95)
     for _ in range(rounds):
-        share = np.clip((weight * posterior).sum() / weight.sum(), 0.5, 0.999)
+        share = ((weight * posterior).sum() + strength * 0.9) / (weight.sum() + strength)
+        share = np.clip(share, 1e-3, 0.999)
         rates = []
         for side, start in ((posterior, 0.9), (1 - posterior, 0.5)):
             w = (weight * side)[:, None]

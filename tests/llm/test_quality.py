@@ -84,3 +84,23 @@ def test_one_doubtful_vote_among_many_good_ones_is_outvoted(spark):
     docs = documents(spark, [(i, prose(i, 200, 150)) for i in range(30)] + [(99, "|" .join(["junk!!! ###"] * 5) + " SHOUT! ### %%%" * 60)])
     kept = {r.doc_id for r in quality.good_documents(docs).collect()}
     assert kept == set(range(30))
+
+
+def _pattern(votes):
+    return sum(v * 3**j for j, v in enumerate(votes))
+
+
+def test_the_share_of_good_documents_may_be_small():
+    """Rules of known accuracy over documents of which most are junk: nearly all are told apart."""
+    r = random.Random(9)
+    for share in (0.05, 0.2, 0.5, 0.9):
+        counts, truth = Counter(), Counter()
+        for _ in range(20_000):
+            is_good = r.random() < share
+            votes = [0 if r.random() < 0.2 else 1 if r.random() < (0.95 if is_good else 0.3) else 2 for _ in quality.RULES]
+            counts[_pattern(votes)] += 1
+            truth[_pattern(votes), is_good] += 1
+        posterior = quality.fit(counts)
+        wrong = sum(n for (p, is_good), n in truth.items() if (posterior[p] >= 0.5) != is_good)
+        assert wrong < 0.05 * 20_000, share
+        assert abs(sum(posterior[p] * n for p, n in counts.items()) / 20_000 - share) < 0.04
