@@ -254,6 +254,7 @@ class KneserNey:
 
     def __init__(self, folder, pair_parts, word_parts, pairs, words):
         self.folder, self.pair_parts, self.word_parts = folder, pair_parts, word_parts
+        self.stored = frozenset(os.listdir(folder))  # as many names as there are shards
         self.tokens, self.vocabulary, self.pairs = words[:3]
         self.high = discounts(*pairs[:4])
         self.low = discounts(*words[3:7])
@@ -266,9 +267,14 @@ class KneserNey:
         return {**self.__dict__, "_maps": {}}
 
     def _map(self, name):
+        """A stored array, None for a shard that holds nothing.
+
+        An array that training stored and this worker does not see is an error: without the
+        shared folder every count would be 0.
+        """
         if name not in self._maps:
-            path = os.path.join(self.folder, f"{name}.npy")
-            self._maps[name] = np.load(path, mmap_mode="r") if os.path.exists(path) else None
+            stored = f"{name}.npy" in self.stored
+            self._maps[name] = np.load(os.path.join(self.folder, f"{name}.npy"), mmap_mode="r") if stored else None
         return self._maps[name]
 
     def _look_up(self, kind, values, keys, shards, width):

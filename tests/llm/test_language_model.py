@@ -118,3 +118,18 @@ def test_shared_folder_must_be_mounted():
     assert language_model.folder_of("file:///a/b") == language_model.folder_of("/a/b") == "/a/b"
     with pytest.raises(ValueError, match="mounted"):
         language_model.folder_of("hdfs://x/a")
+
+
+def test_arrays_that_a_worker_does_not_see_are_an_error(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tempestry.session import Scratch
+
+    docs = documents(spark, [(i, prose(i, 50, 9)) for i in range(5)]).select(F.col("text").cast("binary").alias("text"))
+    model = language_model.train(docs, Scratch(spark), 2)
+    words = language_model.word_hashes(prose(1, 50, 9).encode())
+    assert model.words(np.unique(words))[:, 0].sum() > 0
+    model = language_model.train(docs, Scratch(spark), 2)
+    model.folder = str(tmp_path)  # not mounted here
+    with pytest.raises(FileNotFoundError):
+        model.words(np.unique(words))
