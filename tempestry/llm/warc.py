@@ -25,7 +25,9 @@ from tempestry.llm.common import bytes_of, emit
 from tempestry.session import Scratch
 
 _END = b"\r\n\r\n"
-_START = b"WARC/"
+#: Where files are cut. No beginning of it stands again inside it, so that a reader which
+#: goes on from the first letter after a mismatch, as Hadoop's does at a buffer's end, finds all.
+_CUT = b"\nWARC/"
 _HEX = re.compile(rb"[0-9A-Fa-f]+")
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _RECORD = pa.schema([("record", pa.binary())])
@@ -166,12 +168,13 @@ def _fields(head: bytes) -> dict:
 def parse_piece(data: bytes):
     """What a piece says of itself: the length it should have, its fields, and its block.
 
-    ``data`` starts with a version line, with or without ``WARC/``. The needed length is -1
-    if there is no header with a content length.
+    ``data`` starts with a version line, with or without ``WARC/``, and may have the line
+    ends that close a record behind it. The needed length is -1 if there is no header with
+    a content length.
     """
     end = data.find(_END)
-    if end < 0:
-        end = len(data)  # a block that begins like a record is a piece of its own
+    if end < 0:  # a block that begins like a record is a piece of its own
+        end = len(data.removesuffix(_END[:3]))
     named = _fields(data[:end])
     length = _whole_number(named.get(b"content-length"))
     if length is None:
@@ -198,7 +201,7 @@ def _parse(batches):
 
 def _pieces(spark: SparkSession, path) -> DataFrame:
     """The files cut before every look of a record's start: file, split, row, data."""
-    text = spark.read.option("lineSep", (_END + _START).decode()).text(path)
+    text = spark.read.option("lineSep", _CUT.decode()).text(path)
     return text.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
@@ -220,7 +223,7 @@ def _chain(batches):
         rows = []
         for here, row, have, need in zip(*(batch.column(i).to_pylist() for i in range(4))):
             if here == file and missing > 0:
-                missing -= have + len(_END + _START)
+                missing -= have + len(_CUT)
             else:
                 file, head = here, row
                 missing = need - have
@@ -232,8 +235,8 @@ def _chain(batches):
 def _read_records(spark: SparkSession, path) -> DataFrame:
     """The records of archives, each in one row as ``_PIECES_SQL``.
 
-    A record that the end of its file cuts off keeps ``have`` below ``need``; the last of a
-    file has the line ends that close it on top.
+    A record that the end of its file cuts off keeps ``have`` below ``need``; others have the
+    line ends that close them on top.
     """
     cut = _pieces(spark, path)
     parsed = cut.mapInArrow(_parse, _PIECES_SQL)
@@ -249,7 +252,7 @@ def _read_records(spark: SparkSession, path) -> DataFrame:
         cut.join(heads, "row")
         .groupBy("head")
         .agg(F.min_by("file", "row").alias("file"), F.min("split").alias("split"), F.sort_array(F.collect_list(F.struct("row", "data"))).alias("parts"))
-        .select("file", "split", F.col("head").alias("row"), F.array_join(F.col("parts.data").cast("array<string>"), (_END + _START).decode()).cast("binary").alias("data"))
+        .select("file", "split", F.col("head").alias("row"), F.array_join(F.col("parts.data").cast("array<string>"), _CUT.decode()).cast("binary").alias("data"))
     )
     whole = joined.mapInArrow(_parse, _PIECES_SQL)
     return parsed.join(short, "file", "left_anti").unionByName(whole).where("need >= 0")
@@ -354,7 +357,7 @@ def read_archives(spark: SparkSession, path, payloads=True) -> DataFrame:
     ordered = F.sort_array(F.collect_list(F.struct("number", "block")))
     merged = parts.groupBy("key").agg(
         F.max(F.when(origin, F.struct(*named))).alias("named"),
-        F.min(F.col("have") - F.col("need")).alias("have"),
+        F.least(F.min(F.col("have") - F.col("need")), F.lit(0)).alias("have"),
         ordered.alias("parts"),
         F.max("total").alias("total"),
     )

@@ -134,6 +134,19 @@ def test_large_files_are_read_in_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_records_that_end_at_the_end_of_a_read_buffer(spark, tmp_path):
+    """Line ends of a block, those that close it and a buffer's end in any position."""
+    ship(spark)
+    for size in (4096, 65_536):
+        for k in range(14):
+            head = len(record("resource", b"0" * size, WARC_Record_ID="<a>")) - size
+            first = record("resource", b"x" * (size - head - k) + b"\r\n\r\n", WARC_Record_ID="<a>")
+            (tmp_path / f"{size}-{k}.warc").write_bytes(first + record("resource", b"second\n", WARC_Record_ID="<b>"))
+    read = warc.read_archives(spark, str(tmp_path)).collect()
+    assert Counter((r.record_id, r.problem) for r in read) == {("<a>", None): 28, ("<b>", None): 28}
+    assert {r.payload for r in read if r.record_id == "<b>"} == {b"second\n"}
+
+
 def test_chunks_of_any_size():
     r = random.Random(6)
     for size in (1, 3, 4096):
