@@ -240,16 +240,19 @@ def subtree_sums(tree: DataFrame, paths, scratch: Scratch, largest=4096) -> Data
     weight of every such component.
     """
     zero = F.lit(0).cast("long")
-    root = tree.where("depth = 0").select(F.col("conv_id").alias("top_conv"), F.col("depth").alias("top_depth"))
-    root_conv = root.head()[0]
+    root = tree.where("depth = 0").select("conv_id", "weight").head()
     active = tree.select(
-        F.lit(root_conv).cast("long").alias("top_conv"), zero.alias("top_depth"), *_NODE, "parent_conv_id",
+        F.lit(root.conv_id).cast("long").alias("top_conv"), zero.alias("top_depth"), *_NODE, "parent_conv_id",
         "weight", "leaf", "saved", zero.alias("add_leaf"), zero.alias("add_saved"),
     )
     columns, small, done, walks, turn = active.columns, [], [], None, 0
     while True:
-        sizes = active.groupBy(*_TOP).agg(F.max("weight").alias("whole"), F.count(F.lit(1)).alias("nodes"))
-        sized = scratch.save(active.join(sizes, _TOP), f"sized_{turn}")
+        if turn:
+            sizes = active.groupBy(*_TOP).agg(F.max("weight").alias("whole"), F.count(F.lit(1)).alias("nodes"))
+            sized = active.join(sizes, _TOP)
+        else:  # one component
+            sized = active.withColumns({"whole": F.lit(root.weight), "nodes": F.lit(tree.count())})
+        sized = scratch.save(sized, f"sized_{turn}")
         small.append(sized.where(F.col("nodes") <= largest).select(*columns))
         large = sized.where(F.col("nodes") > largest)
         if large.isEmpty():
