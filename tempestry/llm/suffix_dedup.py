@@ -341,55 +341,42 @@ def _sort_fragments(length):
     return sort
 
 
-def _read(length, by_window):
-    """The bytes of the wanted fragments of each text, or a digest of each of their windows."""
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary()) if by_window else (pa.int64(),) * 4 + (pa.binary(),)
-    names = ["doc_id", "body", "start", "window"] if by_window else ["gram", "doc_id", "body", "start", "bytes"]
+_READ_SQL = "gram long, doc_id long, body long, start long, bytes binary, window binary"
+_READ = pa.schema(
+    [(c, pa.int64()) for c in ("gram", "doc_id", "body", "start")] + [("bytes", pa.binary()), ("window", pa.binary())]
+)
+
 
-    def rows(out):
-        return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*out), kinds)], names=names)
+def _read_fragments(length):
+    """The bytes of the wanted fragments of each text; of crowded grams a digest of each window."""
 
     def read(batches):
         for batch in batches:
             out = []
-            columns = ("doc_id", "body", "text", "grams", "starts", "windows")
-            for doc_id, body, text, *lists in zip(*(batch.column(c).to_pylist() for c in columns)):
-                for gram, a, n in zip(*lists):
-                    if by_window:
+            names = ("doc_id", "body", "text", "grams", "starts", "windows", "crowded")
+            for doc_id, body, text, *lists in zip(*(batch.column(c).to_pylist() for c in names)):
+                for gram, a, n, crowded in zip(*lists):
+                    if crowded:
                         pieces = ((s, text[s : s + length]) for s in range(a, a + n))
-                        out += [(doc_id, body, s, hashlib.blake2b(x, digest_size=16).digest()) for s, x in pieces]
+                        out += [(gram, doc_id, body, s, None, hashlib.blake2b(x, digest_size=16).digest()) for s, x in pieces]
                     else:
-                        out.append((gram, doc_id, body, a, text[a : a + n + length - 1]))
+                        out.append((gram, doc_id, body, a, text[a : a + n + length - 1], None))
                 if len(out) > 20_000:
-                    yield rows(out)
+                    yield emit(_READ, **dict(zip(_READ.names, zip(*out))))
                     out = []
             if out:
-                yield rows(out)
+                yield emit(_READ, **dict(zip(_READ.names, zip(*out))))
 
     return read
 
 
-def _texts_of(docs, fragments, length, by_window):
-    """What ``_read`` gives for ``fragments`` (gram, first, windows), their texts met once."""
-    wanted = fragments.groupBy(F.col("first.doc_id").alias("doc_id"), F.col("first.body").alias("body")).agg(
-        F.collect_list("gram").alias("grams"),
-        F.collect_list("first.start").alias("starts"),
-        F.collect_list("windows").alias("windows"),
-    )
-    own = "window binary" if by_window else "bytes binary"
-    front = "" if by_window else "gram long, "
-    met = _with(docs, wanted, "inner")
-    return met.mapInArrow(_read(length, by_window), f"{front}doc_id long, body long, start long, {own}")
-
-
 def _later_windows(windows: DataFrame, scratch: Scratch, length) -> DataFrame:
     """Ranges of all windows (doc_id, body, start, window) but the first of each digest.
 
-    The first places come from a partial aggregate and are joined back to the written
-    windows, so that a window that a third of all documents hold is a row per task in the
-    one, and a skewed join in the other.
+    The first places come from a partial aggregate and are joined back to the windows, so
+    that a window that a third of all documents hold is a row per task in the one, and a
+    skewed join in the other.
     """
-    windows = scratch.save(windows, "windows")
     place = F.struct("doc_id", "body", "start")
     firsts = windows.groupBy("window").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
     firsts = scratch.save(firsts.select("window", "first"), "firsts")
@@ -408,12 +395,15 @@ def merged(ranges):
     return out
 
 
-def repeated_ranges(docs: DataFrame, scratch: Scratch, length=LENGTH, gram=GRAM, crowd=2000, block=CUT) -> DataFrame:
+def repeated_ranges(
+    docs: DataFrame, scratch: Scratch, length=LENGTH, gram=GRAM, crowd=2000, most=20_000, block=CUT
+) -> DataFrame:
     """Byte ranges ``(doc_id, body, a, b)`` that are to be removed; they may overlap.
 
     ``docs`` has doc_id, body (from ``_plain``) and text (bytes). Where over ``crowd``
-    different fragments meet at a gram, their windows are told apart by a 128-bit digest of
-    each instead of being sorted, so no task sorts an unbounded group.
+    different fragments agree beside a gram, or over ``most`` meet at it, their windows are
+    told apart by a 128-bit digest of each instead of being sorted, so no task sorts an
+    unbounded group.
     """
     kinds = "doc_id long, body long, gram long, digest long, left int, right int, start int, windows short"
     all_of = scratch.save(docs.mapInArrow(_cut(length, gram, block), kinds), "fragments")
@@ -452,25 +442,36 @@ def repeated_ranges(docs: DataFrame, scratch: Scratch, length=LENGTH, gram=GRAM,
         .select("gram", "side", "context", "k")
     )
     met = scratch.save(met, "met")
-    crowds = met.groupBy("gram").agg((F.sum("k") > crowd).alias("crowded"))
+    crowded = (F.max("k") > crowd) | (F.sum("k") > most)
+    crowds = met.groupBy("gram").agg(crowded.alias("crowded"))
     wanted = (
         classes.select("gram", "digest", "first", "windows", F.inline(sides))
         .join(met, ["gram", "side", "context"])
         .groupBy("gram", "digest")
         .agg(F.first("first").alias("first"), F.first("windows").alias("windows"))
         .join(crowds, "gram")
+        .groupBy(F.col("first.doc_id").alias("doc_id"), F.col("first.body").alias("body"))
+        .agg(
+            F.collect_list("gram").alias("grams"),
+            F.collect_list("first.start").alias("starts"),
+            F.collect_list("windows").alias("windows"),
+            F.collect_list("crowded").alias("crowded"),
+        )
     )
+    read = scratch.save(_with(docs, wanted, "inner").mapInArrow(_read_fragments(length), _READ_SQL), "read")
     found = (
-        _texts_of(docs, wanted.where("NOT crowded"), length, False)
+        read.where("window IS NULL")
+        .drop("window")
         .repartition("gram")
         .sortWithinPartitions("gram")
         .mapInArrow(_sort_fragments(length), "doc_id long, body long, a long, b long")
     )
     found = scratch.save(found, "sorted")
+    windows = read.where("window IS NOT NULL").select("doc_id", "body", "start", "window")
     if not crowds.where("crowded").isEmpty():
-        found = found.union(_later_windows(_texts_of(docs, wanted.where("crowded"), length, True), scratch, length))
+        found = found.union(_later_windows(windows, scratch, length))
     ranges = scratch.save(copies.union(found), "ranges")
-    scratch.drop("hits", "classes", "met", "sorted", "windows", "firsts")
+    scratch.drop("hits", "classes", "met", "read", "sorted", "firsts")
     return ranges
 
 

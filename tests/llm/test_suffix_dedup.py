@@ -58,11 +58,12 @@ def test_crowded_grams_are_dealt_by_window(spark):
     plain = suffix_dedup._plain(docs, Scratch(spark))
     few = suffix_dedup.repeated_ranges(plain, Scratch(spark), crowd=3)
     many = suffix_dedup.repeated_ranges(plain, Scratch(spark), crowd=2000)
+    total = suffix_dedup.repeated_ranges(plain, Scratch(spark), crowd=2000, most=5)
 
     def covered(ranges):
         return {(r.doc_id, i) for r in ranges.collect() for i in range(r.a, r.b)}
 
-    assert covered(few) == covered(many)
+    assert covered(few) == covered(many) == covered(total)
     check(docs)
 
 
