@@ -1,5 +1,8 @@
+import math
+
 import pytest
 from pyspark.ml import Pipeline
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import functions as F
 
 from checks.storm_view import storm
@@ -79,6 +82,19 @@ def test_same_forest_from_differently_placed_rows(parts, model):
     assert trees(again) == trees(model)
 
 
+def test_partitions_grow_with_the_rows(parts, monkeypatch):
+    def trees(fitted):
+        return fitted.stages[-1].toDebugString.split("\n")[1:]
+
+    monkeypatch.setattr(forest, "ROWS_PER_PARTITION", 1000)
+    grown = forest.train_harm_model(parts[0], trees=5, depth=4, partitions=2)
+    n = math.ceil(parts[0].count() / 1000)
+    assert n > 2 and grown.stages[-1].getCacheNodeIds()
+    plain = RandomForestClassifier(labelCol="has_harm", numTrees=5, maxDepth=4, seed=42)
+    placed = parts[0].repartition(n, "EVENT_ID").sortWithinPartitions("EVENT_ID")
+    assert trees(grown) == trees(Pipeline(stages=[*feature_stages(), plain]).fit(placed))
+
+
 def test_unseen_category_is_scored(model, parts):
     strange = parts[2].limit(5).withColumn("STATE", F.lit("ATLANTIS"))
     assert model.transform(strange).where("prediction IS NOT NULL").count() == 5
