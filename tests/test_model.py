@@ -5,6 +5,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import functions as F
 
+from checks import queries
 from checks.storm_view import storm
 from tempestry.operators import evaluation, forest
 from tempestry.operators.features import (
@@ -95,6 +96,19 @@ def test_partitions_grow_with_the_rows(parts, monkeypatch):
     assert trees(grown) == trees(Pipeline(stages=[*feature_stages(), plain]).fit(placed))
 
 
+def test_quality_scores_each_part_once(spark, monkeypatch):
+    sf_dir, calls = SF_DIR.replace("0.01", "0.001"), []
+    model, test = queries.trained(spark, sf_dir)
+    made = queries.features.build_features
+    monkeypatch.setattr(queries.features, "build_features", lambda *a: calls.append(a) or made(*a))
+    found = {r.part: r for r in queries.rf_quality(spark, sf_dir).collect()}
+    assert not calls
+    for name, part in (("validation", split3(made(storm(spark, sf_dir)))[1]), ("test", test)):
+        scored = model.transform(part)
+        assert found[name].auc == pytest.approx(evaluation.area_under_roc(scored))
+        assert found[name].accuracy == evaluation.accuracy(scored).head()[0]
+
+
 def test_unseen_category_is_scored(model, parts):
     strange = parts[2].limit(5).withColumn("STATE", F.lit("ATLANTIS"))
     assert model.transform(strange).where("prediction IS NOT NULL").count() == 5
