@@ -93,6 +93,21 @@ def test_a_task_reads_many_small_blocks(spark, tmp_path):
         assert written.select("task").distinct().count() <= spark.sparkContext.defaultParallelism
 
 
+def test_a_task_reads_blocks_of_many_files(spark, tmp_path):
+    for i in range(40):
+        text = "".join(f'{j},"a\nb {i}"\n' for j in range(30))
+        (tmp_path / f"{i:02}.csv").write_text(("EVENT_ID,NOTE\n" if i % 2 else "EVENT_ID,OTHER\n") + text)
+    scratch = Scratch(spark)
+    with block_size(spark, 100):
+        assert cut_records(spark, str(tmp_path), scratch).where("first").count() == 40
+        pieces = spark.read.parquet(scratch.path("pieces"))
+        task = F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1)
+        assert pieces.select(task).distinct().count() <= spark.sparkContext.defaultParallelism
+        rows = read_events_csv(spark, str(tmp_path), split=True).select("EVENT_ID", "NOTE", "OTHER").collect()
+    found = sorted((r.EVENT_ID, r.NOTE or r.OTHER, r.NOTE is None) for r in rows)
+    assert found == sorted((j, f"a\nb {i}", i % 2 == 0) for i in range(40) for j in range(30))
+
+
 def test_rejects_and_gzip_by_blocks(spark, tmp_path):
     (tmp_path / "a.csv").write_text('EVENT_ID,STATE\n1,"x\ny"\n2\n3,a,b\n')
     with gzip.open(tmp_path / "b.csv.gz", "wt") as file:
