@@ -45,6 +45,18 @@ def test_node_importances_equal_the_forest(fitted):
     assert sum(summed.values()) == pytest.approx(1)
 
 
+def test_partitions_of_one_tree_grow_with_the_rows(spark, monkeypatch):
+    table = features.build_features(storm(spark, SF_DIR)).localCheckpoint()
+    once = forest.train_harm_model(table, trees=1, depth=3, partitions=1, bootstrap=False)
+    seen = []
+    monkeypatch.setattr(forest, "ROWS_PER_PARTITION", 100)
+    fit = forest.Pipeline.fit
+    monkeypatch.setattr(forest.Pipeline, "fit", lambda p, df: seen.append(df.rdd.getNumPartitions()) or fit(p, df))
+    more = forest.train_harm_model(table, trees=1, depth=3, partitions=1, bootstrap=False)
+    assert seen == [-(-table.count() // 100)] and seen[0] > 4
+    assert more.stages[-1].toDebugString.split("\n")[1:] == once.stages[-1].toDebugString.split("\n")[1:]
+
+
 def test_a_tree_that_is_only_a_root(spark):
     rows = [(i, "Flood", "TEXAS", "EG", 1.0, 2.0, 1) for i in range(8)]
     df = spark.createDataFrame(rows, "EVENT_ID long, EVENT_TYPE string, STATE string, MAGNITUDE_TYPE string, MAGNITUDE double, EVENT_COUNT_PER_CZ double, has_harm int")
